@@ -202,7 +202,7 @@ ORACLE: dict[str, str] = {
     ),
     "measures_try_cast": f"WITH {_WIDE}, {_TEXT} SELECT {_IDS}, {_PARSED} FROM t",
     "unparseable_amounts": _with_long(
-        f"""SELECT {_IDS}, month, COALESCE(CAST(sales_amount AS VARCHAR), 'N/A') AS sales_raw,
+        f"""SELECT {_IDS}, month, CASE WHEN sales_amount IS NULL THEN 'N/A' END AS sales_raw,
           CASE WHEN sales_amount IS NULL THEN 'unparseable_amount' ELSE 'negative_amount' END AS reject_reasons
           FROM l WHERE sales_amount IS NULL OR sales_amount < 0"""
     ),

@@ -23,10 +23,8 @@ def month_number(month: Column, unknown: str = "zero") -> Column:
     """Calendar number of a month label; other labels give 0 (``zero``) or NULL (``null``)."""
     if unknown not in ("zero", "null"):
         raise ValueError("unknown is 'zero' or 'null'")
-    number = F.when(month == MONTHS[0], F.lit(1))
-    for position, label in enumerate(MONTHS[1:], start=2):
-        number = number.when(month == label, F.lit(position))
-    return number.otherwise(F.lit(0)) if unknown == "zero" else number
+    position = F.array_position(F.lit(list(MONTHS)), month).cast("int")
+    return F.coalesce(position, F.lit(0)) if unknown == "zero" else F.nullif(position, F.lit(0))
 
 
 def quarter_of(number: Column) -> Column:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthfold.operators.reshape import unpivot_months
+
+# Cells per bit column: the non-negative bits of a long.
+BITS = 63
+
 
 def _group_columns(df: DataFrame, keys: Sequence[str], scope: str) -> list[str]:
     if scope not in ("file", "global"):
@@ -52,6 +58,63 @@ def dedup(
     return best.withColumns(kept).select(*order)
 
 
+def dedup_wide(
+    df: DataFrame,
+    keys: Sequence[str],
+    cells: Mapping[str, tuple[Column, Column]],
+    determined: Sequence[str] = (),
+    value: str = "sales_amount",
+) -> DataFrame:
+    """Long rows with one row per key and month, folded before they are unpivoted.
+
+    ``cells`` gives per month label the amount and whether the cell takes part. The
+    result equals unpivoting, keeping the cells that take part, and :func:`dedup`
+    within the keys; but the shuffle moves one row per wide row instead of one per
+    cell. Which cells took part is kept as bits, because a cell may take part with
+    a NULL amount.
+    """
+    group = list(dict.fromkeys([*keys, *[c for c in determined if c in df.columns]]))
+    labels = list(cells)
+    clash = set(labels) & set(group)
+    if clash:
+        raise ValueError(f"month labels collide with keys: {sorted(clash)}")
+    taken = {label: f"__taken_{label}" for label in labels}
+    blocks = [labels[start : start + BITS] for start in range(0, len(labels), BITS)]
+    names = [F.col(f"`{c}`") for c in group]
+    marked = df.select(
+        *names,
+        *[amount.alias(label) for label, (amount, _) in cells.items()],
+        *[part.alias(taken[label]) for label, (_, part) in cells.items()],
+    ).select(
+        *names,
+        *[F.when(F.col(taken[label]), F.col(label)).alias(label) for label in labels],
+        *[
+            reduce(
+                lambda bits, more: bits.bitwiseOR(more),
+                [F.shiftleft(F.col(taken[label]).cast("long"), bit) for bit, label in enumerate(block)],
+            ).alias(f"__bits_{number}")
+            for number, block in enumerate(blocks)
+        ],
+    )
+    folded = marked.groupBy(*names).agg(
+        *[F.max(label).alias(label) for label in labels],
+        *[F.bit_or(f"__bits_{number}").alias(f"__bits_{number}") for number in range(len(blocks))],
+    )
+    packed = folded.select(
+        *names,
+        *[
+            F.struct(
+                F.col(label).alias("amount"),
+                (F.getbit(F.col(f"__bits_{number}"), F.lit(bit)) == 1).alias("taken"),
+            ).alias(label)
+            for number, block in enumerate(blocks)
+            for bit, label in enumerate(block)
+        ],
+    )
+    long = unpivot_months(packed, group, labels, value="cell")
+    return long.where("cell.taken").select(*names, "month", F.col("cell.amount").alias(value))
+
+
 def removed_count(df: DataFrame, keys: Sequence[str], scope: str = "file") -> DataFrame:
     """One row (before, after, removed) from a single pass over the frame."""
     group = [f"`{c}`" for c in _group_columns(df, keys, scope)]

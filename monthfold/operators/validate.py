@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthfold.schema import CURATED_NOT_NULL, IDENTIFIER_TYPES, WIDTHS
 
+# Columns that a long row gets from its month alone.
+MONTHLY = ("month", "month_number")
+
 
 @dataclass(frozen=True)
 class Profile:
@@ -33,6 +38,11 @@ class Profile:
     keep_rejects: bool = True
     enabled: bool = True
 
+    @property
+    def drops_blanks(self) -> bool:
+        """Whether empty cells are left out without being rejects."""
+        return self.enabled and self.null_amount == "drop"
+
 
 PROFILES: dict[str, Profile] = {
     profile.name: profile
@@ -69,50 +79,99 @@ def _holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def rules(columns: Sequence[str], profile: Profile) -> list[tuple[str, Column]]:
-    """The (reason, predicate) pairs of a profile for a frame with these columns."""
-    amount = F.col("sales_amount")
-    has_raw = "sales_raw" in columns
-    found = [(f"null_{c}", F.col(f"`{c}`").isNull()) for c in profile.required if c in columns]
-    if "unparsed_ids" in columns:
-        found.append(("unparseable_identifier", F.col("unparsed_ids").isNotNull()))
-    if has_raw:
-        found.append(("unparseable_amount", F.col("sales_raw").isNotNull() & amount.isNull()))
+def row_rules(
+    columns: Sequence[str],
+    profile: Profile,
+    ids: Sequence[str] = (),
+    present: Mapping[str, Column] | None = None,
+) -> list[tuple[str, Column]]:
+    """(reason, predicate) pairs about columns that all cells of a row share.
+
+    A required column is checked where the row's file has it: ``present`` tells that
+    for columns that only some of the united files have.
+    """
+    found = []
+    for c in profile.required:
+        if c in columns and c not in MONTHLY:
+            missing = F.col(f"`{c}`").isNull()
+            found.append((f"null_{c}", present[c] & missing if present and c in present else missing))
+    if "unparsed" in columns:
+        names = list(ids) or list(IDENTIFIER_TYPES)
+        found.append(
+            ("unparseable_identifier", _holds(F.arrays_overlap(F.map_keys("unparsed"), F.lit(names))))
+        )
+    found += [
+        (f"too_long_{c}", _holds(F.length(F.col(f"`{c}`")) > width))
+        for c, width in profile.widths.items()
+        if c in columns and c not in MONTHLY
+    ]
+    return found
+
+
+def month_rules(columns: Sequence[str], profile: Profile) -> list[tuple[str, Column]]:
+    """(reason, predicate) pairs about the month of a long row."""
+    found = [(f"null_{c}", F.col(c).isNull()) for c in profile.required if c in columns and c in MONTHLY]
+    if "month" in profile.widths and "month" in columns:
+        found.append(("too_long_month", _holds(F.length("month") > profile.widths["month"])))
+    return found
+
+
+def cell_rules(profile: Profile, amount: Column, unparsed: Column | None = None) -> list[tuple[str, Column]]:
+    """(reason, predicate) pairs about one amount; ``unparsed`` says that its text is no number."""
+    found = []
+    blank = amount.isNull()
+    if unparsed is not None:
+        found.append(("unparseable_amount", unparsed))
+        blank = blank & ~unparsed
     if profile.null_amount == "reject":
-        blank = F.col("sales_raw").isNull() if has_raw else amount.isNull()
         found.append(("null_amount", blank))
     if profile.reject_negative:
-        found.append(("negative_amount", _holds(amount < F.lit(0))))
+        found.append(("negative_amount", _holds(amount < 0)))
     if profile.max_amount is not None:
         found.append(("amount_over_max", _holds(amount > F.lit(profile.max_amount))))
-    found += [
-        (f"too_long_{c}", _holds(F.length(F.col(f"`{c}`")) > F.lit(width)))
-        for c, width in profile.widths.items()
-        if c in columns
-    ]
     return found
 
 
-def flag(df: DataFrame, profile: Profile) -> DataFrame:
-    """Add ``is_valid`` and ``reject_reasons`` (empty for valid rows).
+def none_broken(checks: Sequence[tuple[str, Column]]) -> Column:
+    """True where no predicate of the checks holds."""
+    return ~reduce(or_, [broken for _, broken in checks]) if checks else F.lit(True)
+
+
+def holds_key(entries: Column, key: Column | str) -> Column:
+    """True where a map has the key; a NULL map has none."""
+    return _holds(F.map_contains_key(entries, key))
+
+
+def flag(
+    df: DataFrame,
+    profile: Profile,
+    ids: Sequence[str] = (),
+    present: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Add ``is_valid`` and ``reject_reasons`` (empty for valid rows) to long rows.
 
     ``is_valid`` is NULL for null amounts under a profile that drops them, so that
     such rows are on neither side of :func:`split`.
     """
-    checks = rules(df.columns, profile) if profile.enabled else []
-    valid = F.lit(True)
-    for _, broken in checks:
-        valid = valid & ~broken
-    if profile.enabled and profile.null_amount == "drop":
-        blank = F.col("sales_raw" if "sales_raw" in df.columns else "sales_amount").isNull()
+    amount = F.col("sales_amount")
+    unparsed = holds_key(F.col("unparsed"), F.col("month")) if "unparsed" in df.columns else None
+    checks = []
+    if profile.enabled:
+        checks = [
+            *row_rules(df.columns, profile, ids, present),
+            *month_rules(df.columns, profile),
+            *cell_rules(profile, amount, unparsed),
+        ]
+    valid = none_broken(checks)
+    none = F.array().cast("array<string>")
+    reasons = none
+    if checks:
+        listed = F.array_compact(F.array(*[F.when(broken, F.lit(reason)) for reason, broken in checks]))
+        reasons = F.when(valid, none).otherwise(listed)
+    if profile.drops_blanks:
+        blank = amount.isNull() if unparsed is None else amount.isNull() & ~unparsed
         valid = F.when(~blank, valid)
-    reasons = F.array(*[F.when(broken, F.lit(reason)) for reason, broken in checks])
-    return df.withColumns(
-        {
-            "is_valid": valid,
-            "reject_reasons": F.array_compact(reasons) if checks else F.array().cast("array<string>"),
-        }
-    )
+    return df.withColumns({"is_valid": valid, "reject_reasons": reasons})
 
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,8 @@ from collections import Counter
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
+from operator import add
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,18 +19,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthfold.config import ConfigError, IngestConfig
-from monthfold.functions.months import month_label
 from monthfold.operators import reports
-from monthfold.operators.dedup import dedup
-from monthfold.operators.reshape import to_output, union_shapes
-from monthfold.operators.validate import Profile
-from monthfold.plans.normalize import DETERMINED, identifiers_and_measures, long_rows
+from monthfold.operators.dedup import dedup, dedup_wide
+from monthfold.operators.reshape import to_output, union_shapes, unpivot_months
+from monthfold.operators.validate import Profile, holds_key, split
+from monthfold.plans.normalize import (
+    DETERMINED,
+    add_calendar,
+    flagged_cells,
+    folds_wide,
+    identifiers_and_measures,
+    valid_cells,
+)
 from monthfold.schema import CURATED, IDENTIFIER_COLUMNS
 from monthfold.sinks.scratch import shared_folder
 from monthfold.sinks.writers import append, write_curated, write_json, write_quarantine
 from monthfold.sources.discovery import list_files, logical_files, read_headers
 from monthfold.sources.tables import read_or_empty
-from monthfold.sources.wide import Shape, group_by_header, read_wide, with_provenance
+from monthfold.sources.wide import Shape, group_by_header, read_wide, typed_wide, with_provenance
 from monthfold.state import tables as state
 
 log = logging.getLogger(__name__)
@@ -36,7 +44,7 @@ log = logging.getLogger(__name__)
 # Names the long form adds; an input column may not take one.
 RESERVED = frozenset(
     "source_file load_timestamp month month_number quarter sales_amount sales_raw "
-    "unparsed_ids is_valid reject_reasons row_head run_id copies".split()
+    "unparsed is_valid reject_reasons shape run_id".split()
 )
 
 
@@ -105,8 +113,7 @@ def read_quarantine(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     long = [field for field in CURATED.fields]
     extra = [
         T.StructField("sales_raw", T.StringType()),
-        T.StructField("unparsed_ids", T.StringType()),
-        T.StructField("is_valid", T.BooleanType()),
+        T.StructField("unparsed", T.MapType(T.StringType(), T.StringType())),
         T.StructField("reject_reasons", T.ArrayType(T.StringType())),
         T.StructField("run_id", T.StringType()),
     ]
@@ -114,40 +121,52 @@ def read_quarantine(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     return state.committed(rows, read_ledger(spark, cfg)).select(*[f.name for f in long + extra])
 
 
-def _header_problem(columns: tuple[str, ...]) -> str | None:
-    lowered = Counter(name.lower() for name in columns)
-    repeated = sorted(name for name, times in lowered.items() if times > 1)
-    if repeated:
-        return f"error: duplicate columns {repeated}"
-    taken = sorted(lowered.keys() & RESERVED)
-    return f"error: reserved column names {taken}" if taken else None
-
-
 def _judge(
     headers: Mapping[str, tuple[str, ...] | Exception], file_of: Mapping[str, str], cfg: IngestConfig, rules: Profile
 ) -> tuple[dict[str, str], dict[str, tuple[str, ...]]]:
     """(status per file, headers of the parts of sound files) from the headers alone."""
     status: dict[str, str] = {}
+    measured = {
+        path: _columns(header, cfg, rules)[1] for path, header in headers.items() if not isinstance(header, Exception)
+    }
+    measure_names = {name.lower() for names in measured.values() for name in names}
     for path, header in headers.items():
-        problem = f"error: {header}" if isinstance(header, Exception) else _header_problem(header)
+        problem = (
+            f"error: {header}"
+            if isinstance(header, Exception)
+            else _header_problem(header, set(measured[path]), measure_names)
+        )
         if problem:
             status[file_of[path]] = problem
     sound = {path: header for path, header in headers.items() if file_of[path] not in status}
-    with_rows = {file_of[path] for path, header in sound.items() if _measures(header, cfg, rules)}
+    with_rows = {file_of[path] for path in sound if measured[path]}
     for path in sound:
         status[file_of[path]] = state.SUCCESS if file_of[path] in with_rows else state.SKIPPED
     return status, sound
 
 
-def _measures(header: tuple[str, ...], cfg: IngestConfig, rules: Profile) -> list[str]:
-    return identifiers_and_measures(header, rules, cfg.sales_column_pattern, cfg.identifier_columns)[1]
+def _header_problem(columns: tuple[str, ...], measures: set[str], measure_names: set[str]) -> str | None:
+    lowered = Counter(name.lower() for name in columns)
+    repeated = sorted(name for name, times in lowered.items() if times > 1)
+    if repeated:
+        return f"error: duplicate columns {repeated}"
+    taken = sorted(lowered.keys() & RESERVED)
+    if taken:
+        return f"error: reserved column names {taken}"
+    alike = sorted(name for name in columns if name not in measures and name.lower() in measure_names)
+    return f"error: columns differ from measures by case only {alike}" if alike else None
+
+
+def _columns(header: tuple[str, ...], cfg: IngestConfig, rules: Profile) -> tuple[list[str], dict[str, str]]:
+    return identifiers_and_measures(header, rules, cfg.sales_column_pattern, cfg.identifier_columns)
 
 
 def _staged_shape(spark: SparkSession, shape: Shape, cfg: IngestConfig, rules: Profile, run_ts: datetime) -> DataFrame:
+    ids, measures = _columns(shape.columns, cfg, rules)
     wide = with_provenance(read_wide(spark, shape, cfg.source), run_ts)
-    rows = long_rows(wide, rules, cfg.sales_column_pattern, cfg.identifier_columns)
-    first = month_label(_measures(shape.columns, cfg, rules)[0], cfg.sales_column_pattern)
-    return rows.withColumn("row_head", F.col("month") == first)
+    return typed_wide(wide, ids, measures).select(
+        *[f"`{c}`" for c in (*ids, *measures)], "source_file", "load_timestamp", "unparsed"
+    )
 
 
 def _unreadable_file(error: Exception, files: set[str]) -> str | None:
@@ -159,6 +178,20 @@ def _unreadable_file(error: Exception, files: set[str]) -> str | None:
     return None
 
 
+@dataclass(frozen=True)
+class Staged:
+    """The wide rows of a run, typed and written once, with what their columns mean."""
+
+    rows: DataFrame
+    ids: list[str]
+    measures: dict[str, str]
+    present: dict[str, Column]
+
+    @property
+    def provenance(self) -> list[str]:
+        return ["source_file", "load_timestamp", "run_id"]
+
+
 def _stage(
     spark: SparkSession,
     cfg: IngestConfig,
@@ -169,19 +202,23 @@ def _stage(
     file_of: Mapping[str, str],
     status: dict[str, str],
     folder: str,
-) -> DataFrame | None:
-    """Write the flagged long rows of all files once and return them as a table.
+) -> Staged | None:
+    """Write the typed wide rows of all files once and return them as a table.
 
-    The only pass over the CSV text: one scan per distinct header, no shuffle.
-    Later steps read columns of this table, so that losing an executor costs a
-    re-read of Parquet and never a second parse. A file that turns out unreadable
-    is recorded as an error, and the rest is written without it.
+    The only pass over the CSV text: one scan per distinct header, no shuffle. Later
+    steps read this table, which has one row per input row, so that losing an
+    executor costs a re-read of Parquet and never a second parse. A file that turns
+    out unreadable is recorded as an error, and the rest is written without it.
     """
     while readable:
-        frames = [_staged_shape(spark, shape, cfg, rules, run_ts) for shape in group_by_header(readable)]
+        shapes = group_by_header(readable)
+        frames = [
+            _staged_shape(spark, shape, cfg, rules, run_ts).withColumn("shape", F.lit(number))
+            for number, shape in enumerate(shapes)
+        ]
         rows = union_shapes(frames).withColumn("run_id", F.lit(run_id))
         try:
-            rows.write.mode("overwrite").partitionBy("is_valid").parquet(folder)
+            rows.write.mode("overwrite").parquet(folder)
         except Exception as error:
             bad = _unreadable_file(error, {file_of[path] for path in readable})
             if bad is None:
@@ -190,42 +227,84 @@ def _stage(
             status[bad] = "error: failed to read"
             readable = {path: header for path, header in readable.items() if file_of[path] != bad}
             continue
-        return spark.read.schema(rows.schema).parquet(folder)
+        return _described(spark.read.schema(rows.schema).parquet(folder), shapes, cfg, rules)
     return None
 
 
-def _write_long(staged: DataFrame, cfg: IngestConfig, rules: Profile, incremental: bool) -> tuple[int, int]:
-    """Write the curated rows; returns (rows written, duplicates removed) from the write itself."""
-    helpers = {"sales_raw", "unparsed_ids", "is_valid", "reject_reasons", "row_head"}
-    valid = staged.where(F.col("is_valid")).drop(*helpers)
-    extra = sorted(set(valid.columns) - set(CURATED.names) - {"run_id"})
-    if rules.dedup:
-        keys = [c for c in (*IDENTIFIER_COLUMNS, *extra) if c in valid.columns]
-        kept = dedup(valid, [*keys, "month"], cfg.dedup_scope, determined=DETERMINED, copies="copies")
+def _described(rows: DataFrame, shapes: list[Shape], cfg: IngestConfig, rules: Profile) -> Staged:
+    measures: dict[str, str] = {}
+    holders: dict[str, list[int]] = {}
+    stored = {name.lower(): name for name in rows.columns}
+    for number, shape in enumerate(shapes):
+        own_ids, own_measures = _columns(shape.columns, cfg, rules)
+        measures.update(own_measures)
+        for name in (*own_ids, *own_measures):
+            holders.setdefault(stored[name.lower()], []).append(number)
+    present = {
+        name: F.col("shape").isin(numbers) for name, numbers in holders.items() if len(numbers) < len(shapes)
+    }
+    return Staged(rows, [name for name in holders if name not in measures], measures, present)
+
+
+def _flagged(staged: Staged, rules: Profile) -> DataFrame:
+    """Flagged long rows for the measures that each row's file has."""
+    kept = [*staged.ids, *staged.provenance, "shape", "unparsed"]
+    cells = [
+        F.struct(
+            F.col(f"`{name}`").alias("amount"), staged.present.get(name, F.lit(True)).alias("present")
+        ).alias(label)
+        for name, label in staged.measures.items()
+    ]
+    packed = staged.rows.select(*[f"`{c}`" for c in kept], *cells)
+    long = unpivot_months(packed, kept, list(staged.measures.values()), value="cell")
+    amounts = long.where("cell.present").withColumn("sales_amount", F.col("cell.amount")).drop("cell")
+    return flagged_cells(amounts, rules, staged.ids, staged.present).drop("shape")
+
+
+def _write_long(
+    staged: Staged, cfg: IngestConfig, rules: Profile, accepted: dict[str, tuple[Column, Column]], incremental: bool
+) -> int:
+    """Write the curated rows; returns how many, counted by the write itself."""
+    extra = sorted(set(staged.ids) - set(IDENTIFIER_COLUMNS))
+    if folds_wide(rules, cfg.dedup_scope):
+        kept = add_calendar(dedup_wide(staged.rows, [*staged.ids, *staged.provenance], accepted), rules)
     else:
-        kept = valid.withColumn("copies", F.lit(1).cast("long"))
+        kept = split(_flagged(staged, rules))[0].drop("unparsed", "sales_raw")
+        if rules.dedup:
+            kept = dedup(kept, [*staged.ids, "month"], cfg.dedup_scope, determined=DETERMINED)
     counted = Observation()
-    observed = kept.observe(
-        counted, F.count(F.lit(1)).alias("kept"), F.coalesce(F.sum("copies"), F.lit(0)).alias("seen")
-    )
     write_curated(
-        to_output(observed, ["run_id", *extra]),
+        to_output(kept.observe(counted, F.count(F.lit(1)).alias("kept")), ["run_id", *extra]),
         Places.of(cfg).curated,
         mode="append" if incremental else "overwrite",
         fmt=cfg.output_format,
         parts=cfg.partition_by,
         dynamic=cfg.refresh == "touched_partitions",
     )
-    numbers = counted.get
-    return numbers["kept"], numbers["seen"] - numbers["kept"]
+    return counted.get["kept"]
+
 
+def _file_counts(staged: Staged, rules: Profile, accepted: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Per file: wide rows, cells, valid cells and rejected cells, from the wide rows."""
 
-def _file_counts(staged: DataFrame) -> DataFrame:
-    return staged.groupBy("source_file").agg(
-        F.count_if("row_head").alias("record_count"),
-        F.count(F.lit(1)).alias("long_records"),
-        F.count_if("is_valid").alias("valid_records"),
-        F.count_if(~F.col("is_valid")).alias("invalid_records"),
+    def how_many(conditions: list[Column]) -> Column:
+        return reduce(add, [condition.cast("int") for condition in conditions])
+
+    here = {name: staged.present.get(name, F.lit(True)) for name in staged.measures}
+    cells, valid = how_many(list(here.values())), how_many([part for _, part in accepted.values()])
+    rejected = cells - valid
+    if rules.drops_blanks:
+        rejected -= how_many(
+            [
+                here[name] & F.col(f"`{name}`").isNull() & ~holds_key(F.col("unparsed"), F.lit(label))
+                for name, label in staged.measures.items()
+            ]
+        )
+    return staged.rows.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("record_count"),
+        F.sum(cells).alias("long_records"),
+        F.sum(valid).alias("valid_records"),
+        F.sum(rejected).alias("invalid_records"),
     )
 
 
@@ -260,30 +339,32 @@ def run(
     file_of = {row.path: row.source_file for row in found.collect()}
 
     status, sound = _judge(read_headers(spark, file_of), file_of, cfg, rules)
-    readable = {path: header for path, header in sound.items() if _measures(header, cfg, rules)}
+    readable = {path: header for path, header in sound.items() if _columns(header, cfg, rules)[1]}
     target = hashlib.sha256(cfg.curated.encode()).hexdigest()[:16]
     scratch = f"{shared_folder(spark, cfg.staging)}/monthfold-run/{target}"
-    staged = _stage(spark, cfg, rules, run_id, started, readable, file_of, status, f"{scratch}/long")
+    staged = _stage(spark, cfg, rules, run_id, started, readable, file_of, status, f"{scratch}/wide")
 
     counts_schema = "source_file string, record_count long, long_records long, valid_records long, invalid_records long"
     counts = spark.createDataFrame([], counts_schema)
     written = removed = 0
     if staged is not None:
-        _file_counts(staged).write.mode("overwrite").parquet(f"{scratch}/file_counts")
+        accepted = valid_cells(staged.rows, staged.ids, staged.measures, rules, staged.present)
+        _file_counts(staged, rules, accepted).write.mode("overwrite").parquet(f"{scratch}/file_counts")
         counts = spark.read.schema(counts_schema).parquet(f"{scratch}/file_counts")
-        totals = counts.agg(F.sum("valid_records").alias("valid"), F.sum("invalid_records").alias("invalid")).head()
-        if totals.valid or not incremental:
-            written, removed = _write_long(staged, cfg, rules, incremental)
-        if totals.invalid and rules.keep_rejects:
-            write_quarantine(staged.where(~F.col("is_valid")).drop("row_head"), places.quarantine)
+    sums = counts.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns if c != "source_file"]
+    ).head()
+    if staged is not None and (sums.valid_records or not incremental):
+        written = _write_long(staged, cfg, rules, accepted, incremental)
+        removed = sums.valid_records - written
+    if sums.invalid_records and rules.keep_rejects:
+        rejected = split(_flagged(staged, rules))[1]
+        write_quarantine(rejected.drop("is_valid"), places.quarantine)
 
     if status:
         seen = {(file_of[path], header) for path, header in sound.items()}
         _record_state(spark, cfg, run_id, now, wanted, counts, status, seen)
     errors = [(name, text) for name, text in sorted(status.items()) if text.startswith("error")]
-    sums = counts.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns if c != "source_file"]
-    ).head()
     ended = datetime.now(timezone.utc)
     metrics = spark.createDataFrame(
         [

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthfold.functions.amounts import to_amount
-from monthfold.operators.dedup import dedup
+from monthfold.functions.months import month_label
+from monthfold.operators.dedup import dedup, dedup_wide
 from monthfold.operators.reshape import add_month_number, add_quarter, to_output, unpivot_months
-from monthfold.operators.validate import PROFILES, Profile, flag, split
+from monthfold.operators.validate import (
+    MONTHLY,
+    PROFILES,
+    Profile,
+    cell_rules,
+    flag,
+    holds_key,
+    none_broken,
+    row_rules,
+    split,
+)
 from monthfold.schema import IDENTIFIER_COLUMNS, PROVENANCE, SALES_COLUMN_PATTERN, classify
-from monthfold.sources.wide import typed_identifiers
+from monthfold.sources.wide import typed_wide
 
 # Columns that the dedup key or the run fixes.
 DETERMINED = ("month_number", "quarter", "load_timestamp", "run_id")
@@ -23,9 +33,23 @@ def identifiers_and_measures(
     profile: Profile,
     pattern: str = SALES_COLUMN_PATTERN,
     identifiers: Sequence[str] = IDENTIFIER_COLUMNS,
-) -> tuple[list[str], list[str]]:
-    """Classification under a profile: by pattern, or by pattern and allow-list."""
-    return classify(columns, pattern, identifiers if profile.allow_list else None)
+) -> tuple[list[str], dict[str, str]]:
+    """(identifiers, measures with their month labels) under a profile's classification."""
+    ids, measures = classify(columns, pattern, identifiers if profile.allow_list else None)
+    return ids, {name: month_label(name, pattern) for name in measures}
+
+
+def add_calendar(long: DataFrame, profile: Profile) -> DataFrame:
+    """Add month number and quarter the way the profile treats unknown months."""
+    return add_quarter(add_month_number(long, profile.unknown_month))
+
+
+def flagged_cells(
+    cells: DataFrame, profile: Profile, ids: Sequence[str], present: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Flag unpivoted cells of a typed frame; ``sales_raw`` is text that was no number."""
+    flagged = flag(add_calendar(cells, profile), profile, ids, present)
+    return flagged.withColumn("sales_raw", F.try_element_at("unparsed", F.col("month")))
 
 
 def long_rows(
@@ -35,32 +59,42 @@ def long_rows(
     identifiers: Sequence[str] = IDENTIFIER_COLUMNS,
     months: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Flagged long rows of a wide frame; one narrow pass without a shuffle.
-
-    Cells are unpivoted as they are and parsed once afterwards, so that a cell that
-    is no number can be told from an empty one. ``sales_raw`` keeps its text.
-    """
+    """Flagged long rows of a wide frame; one narrow pass without a shuffle."""
     ids, measures = identifiers_and_measures(wide.columns, profile, pattern, identifiers)
     provenance = [c for c in PROVENANCE if c in wide.columns]
-    typed = typed_identifiers(wide, ids)
-    cells = unpivot_months(
-        typed, [*ids, *provenance, "unparsed_ids"], measures, months=months, value="sales_raw", pattern=pattern
-    )
-    amounts = cells.withColumn("sales_amount", to_amount(F.col("sales_raw")))
-    numbered = add_quarter(add_month_number(amounts, profile.unknown_month))
-    return flag(numbered, profile).withColumn("sales_raw", F.col("sales_raw").cast("string"))
+    typed = typed_wide(wide, ids, measures)
+    cells = unpivot_months(typed, [*ids, *provenance, "unparsed"], list(measures), months=months, pattern=pattern)
+    return flagged_cells(cells, profile, ids)
 
 
-def clean_rows(flagged: DataFrame, ids: Sequence[str], profile: Profile, scope: str = "file") -> DataFrame:
-    """The valid rows of flagged ones, without duplicates where the profile removes them.
+def folds_wide(profile: Profile, scope: str) -> bool:
+    """Whether valid, distinct cells can be found before the unpivot."""
+    monthly = set(profile.required) & set(MONTHLY) or "month" in profile.widths
+    return profile.dedup and scope == "file" and not (profile.enabled and monthly)
 
-    Without a ``source_file`` the whole frame counts as one file.
+
+def valid_cells(
+    typed: DataFrame,
+    ids: Sequence[str],
+    measures: Mapping[str, str],
+    profile: Profile,
+    present: Mapping[str, Column] | None = None,
+) -> dict[str, tuple[Column, Column]]:
+    """Per month label, the amount and whether the profile accepts the cell.
+
+    ``present`` tells whether the row's file has a column at all, for columns that
+    not every file has.
     """
-    valid = split(flagged)[0].drop("sales_raw", "unparsed_ids")
-    if not profile.dedup:
-        return valid
-    within = scope if "source_file" in valid.columns else "global"
-    return dedup(valid, [*ids, "month"], within, determined=DETERMINED)
+    row = none_broken(row_rules(typed.columns, profile, ids, present)) if profile.enabled else F.lit(True)
+    cells = {}
+    for name, label in measures.items():
+        amount, accepted = F.col(f"`{name}`"), row
+        if profile.enabled:
+            accepted = row & none_broken(cell_rules(profile, amount, holds_key(F.col("unparsed"), F.lit(label))))
+        if present and name in present:
+            accepted = present[name] & accepted
+        cells[label] = (amount, accepted)
+    return cells
 
 
 def normalize(
@@ -70,8 +104,20 @@ def normalize(
     identifiers: Sequence[str] = IDENTIFIER_COLUMNS,
     scope: str = "file",
 ) -> DataFrame:
-    """Valid, deduplicated long rows of any wide frame, in the curated column order."""
+    """Valid, deduplicated long rows of any wide frame, in the curated column order.
+
+    Without a ``source_file`` the whole frame counts as one file.
+    """
     chosen = PROFILES[profile] if isinstance(profile, str) else profile
-    ids, _ = identifiers_and_measures(wide.columns, chosen, pattern, identifiers)
-    rows = clean_rows(long_rows(wide, chosen, pattern, identifiers), ids, chosen, scope)
+    ids, measures = identifiers_and_measures(wide.columns, chosen, pattern, identifiers)
+    provenance = [c for c in PROVENANCE if c in wide.columns]
+    if folds_wide(chosen, scope):
+        typed = typed_wide(wide, ids, measures)
+        cells = valid_cells(typed, ids, measures, chosen)
+        rows = add_calendar(dedup_wide(typed, [*ids, *provenance], cells), chosen)
+    else:
+        rows = split(long_rows(wide, chosen, pattern, identifiers))[0].drop("unparsed", "sales_raw")
+        if chosen.dedup:
+            within = scope if "source_file" in provenance else "global"
+            rows = dedup(rows, [*ids, "month"], within, determined=DETERMINED)
     return to_output(rows, [c for c in ids if c not in IDENTIFIER_COLUMNS])

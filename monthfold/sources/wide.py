@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthfold.schema import IDENTIFIER_TYPES
+from monthfold.schema import AMOUNT, IDENTIFIER_TYPES
 from monthfold.sources.discovery import glob_literal, logical_name, scanned_path
 
 
@@ -43,22 +43,41 @@ def read_wide(spark: SparkSession, shape: Shape, directory: str) -> DataFrame:
     return scan.select("*", logical_name(scanned_path(), directory).alias("source_file"))
 
 
-def typed_identifiers(df: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Give identifiers their declared types; the others stay as they are.
+def typed_wide(df: DataFrame, ids: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """Give identifiers and measures their declared types; other columns stay as they are.
 
-    ``unparsed_ids`` lists the values that are not of the declared type, as
-    ``name=value``, so that a reject keeps what it was rejected for. It is NULL for
-    rows without any.
+    ``measures`` maps measure columns to their month labels. A value that is not of
+    the declared type becomes NULL, and ``unparsed`` maps its identifier or month
+    label to the original text, so that a reject keeps what it was rejected for.
+    The map is NULL for rows without such a value.
     """
-    casts = {c: IDENTIFIER_TYPES[c] for c in ids if c in IDENTIFIER_TYPES and df.schema[c].dataType != IDENTIFIER_TYPES[c]}
-    parsed = {c: F.col(f"`{c}`").try_cast(dtype) for c, dtype in casts.items()}
-    lost = [
-        F.when(F.col(f"`{c}`").isNotNull() & value.isNull(), F.concat(F.lit(f"{c}="), F.col(f"`{c}`").cast("string")))
-        for c, value in parsed.items()
-        if not isinstance(casts[c], T.StringType)
-    ]
-    unparsed = F.nullif(F.concat_ws(",", *lost), F.lit("")) if lost else F.lit(None).cast("string")
-    return df.withColumns({**parsed, "unparsed_ids": unparsed})
+    declared = {c: IDENTIFIER_TYPES[c] for c in ids if c in IDENTIFIER_TYPES} | dict.fromkeys(measures, AMOUNT)
+    declared = {c: dtype for c, dtype in declared.items() if df.schema[c].dataType != dtype}
+    cast = {c: f"try_cast({quoted(c)} AS {dtype.simpleString()})" for c, dtype in declared.items()}
+    lost = {
+        c: f"{quoted(c)} IS NOT NULL AND {cast[c]} IS NULL"
+        for c, dtype in declared.items()
+        if not isinstance(dtype, T.StringType)
+    }
+    unparsed = "CAST(NULL AS map<string,string>)"
+    if lost:
+        entries = ", ".join(
+            f"IF({gone}, struct({text(measures.get(c, c))}, CAST({quoted(c)} AS string)), NULL)"
+            for c, gone in lost.items()
+        )
+        unparsed = f"IF({' OR '.join(lost.values())}, map_from_entries(array_compact(array({entries}))), NULL)"
+    columns = [f"{cast[c]} AS {quoted(c)}" if c in cast else quoted(c) for c in df.columns]
+    return df.selectExpr(*columns, f"{unparsed} AS unparsed")
+
+
+def quoted(name: str) -> str:
+    """A column name as it stands in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A string literal in SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def with_provenance(df: DataFrame, run_ts: datetime, source_file: str | None = None) -> DataFrame:

@@ -55,7 +55,7 @@ def unpivot_months(
     if not labels:
         first = F.col(f"`{measures[0]}`")
         return df.select(*[f"`{c}`" for c in ids], F.lit("").alias("month"), first.alias(value)).where(F.lit(False))
-    types = {df.schema[name].dataType for name in labels}
+    types = {df.schema[name].dataType.simpleString() for name in labels}
     cells = [
         (F.col(f"`{name}`") if len(types) == 1 else F.col(f"`{name}`").cast("string")).alias(label)
         for name, label in labels.items()

@@ -11,6 +11,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthfold.functions.months import MONTHS
 from monthfold.schema import CURATED_NOT_NULL, IDENTIFIER_TYPES, WIDTHS
 
 # Columns that a long row gets from its month alone.
@@ -116,6 +117,12 @@ def month_rules(columns: Sequence[str], profile: Profile) -> list[tuple[str, Col
     return found
 
 
+def month_broken(label: str, profile: Profile) -> bool:
+    """What :func:`month_rules` says about every cell of one month column."""
+    unnumbered = label not in MONTHS and profile.unknown_month == "null" and "month_number" in profile.required
+    return unnumbered or len(label) > profile.widths.get("month", len(label))
+
+
 def cell_rules(profile: Profile, amount: Column, unparsed: Column | None = None) -> list[tuple[str, Column]]:
     """(reason, predicate) pairs about one amount; ``unparsed`` says that its text is no number."""
     found = []

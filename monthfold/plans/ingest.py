@@ -27,7 +27,6 @@ from monthfold.plans.normalize import (
     DETERMINED,
     add_calendar,
     flagged_cells,
-    folds_wide,
     identifiers_and_measures,
     valid_cells,
 )
@@ -266,7 +265,7 @@ def _write_long(
 ) -> int:
     """Write the curated rows; returns how many, counted by the write itself."""
     extra = sorted(set(staged.ids) - set(IDENTIFIER_COLUMNS))
-    if folds_wide(rules, cfg.dedup_scope):
+    if rules.dedup and cfg.dedup_scope == "file":
         kept = add_calendar(dedup_wide(staged.rows, [*staged.ids, *staged.provenance], accepted), rules)
     else:
         kept = split(_flagged(staged, rules))[0].drop("unparsed", "sales_raw")

@@ -11,12 +11,12 @@ from monthfold.functions.months import month_label
 from monthfold.operators.dedup import dedup, dedup_wide
 from monthfold.operators.reshape import add_month_number, add_quarter, to_output, unpivot_months
 from monthfold.operators.validate import (
-    MONTHLY,
     PROFILES,
     Profile,
     cell_rules,
     flag,
     holds_key,
+    month_broken,
     none_broken,
     row_rules,
     split,
@@ -67,12 +67,6 @@ def long_rows(
     return flagged_cells(cells, profile, ids)
 
 
-def folds_wide(profile: Profile, scope: str) -> bool:
-    """Whether valid, distinct cells can be found before the unpivot."""
-    monthly = set(profile.required) & set(MONTHLY) or "month" in profile.widths
-    return profile.dedup and scope == "file" and not (profile.enabled and monthly)
-
-
 def valid_cells(
     typed: DataFrame,
     ids: Sequence[str],
@@ -85,12 +79,16 @@ def valid_cells(
     ``present`` tells whether the row's file has a column at all, for columns that
     not every file has.
     """
-    row = none_broken(row_rules(typed.columns, profile, ids, present)) if profile.enabled else F.lit(True)
+    row = none_broken(row_rules(typed.columns, profile, ids, present))
     cells = {}
     for name, label in measures.items():
-        amount, accepted = F.col(f"`{name}`"), row
+        amount = F.col(f"`{name}`")
+        accepted = F.lit(True)
         if profile.enabled:
-            accepted = row & none_broken(cell_rules(profile, amount, holds_key(F.col("unparsed"), F.lit(label))))
+            broken = cell_rules(profile, amount, holds_key(F.col("unparsed"), F.lit(label)))
+            accepted = F.lit(not month_broken(label, profile)) & row & none_broken(broken)
+        if profile.drops_blanks:
+            accepted = accepted & amount.isNotNull()
         if present and name in present:
             accepted = present[name] & accepted
         cells[label] = (amount, accepted)
@@ -111,13 +109,12 @@ def normalize(
     chosen = PROFILES[profile] if isinstance(profile, str) else profile
     ids, measures = identifiers_and_measures(wide.columns, chosen, pattern, identifiers)
     provenance = [c for c in PROVENANCE if c in wide.columns]
-    if folds_wide(chosen, scope):
+    if chosen.dedup and scope == "file":
         typed = typed_wide(wide, ids, measures)
         cells = valid_cells(typed, ids, measures, chosen)
         rows = add_calendar(dedup_wide(typed, [*ids, *provenance], cells), chosen)
     else:
         rows = split(long_rows(wide, chosen, pattern, identifiers))[0].drop("unparsed", "sales_raw")
         if chosen.dedup:
-            within = scope if "source_file" in provenance else "global"
-            rows = dedup(rows, [*ids, "month"], within, determined=DETERMINED)
+            rows = dedup(rows, [*ids, "month"], scope, determined=DETERMINED)
     return to_output(rows, [c for c in ids if c not in IDENTIFIER_COLUMNS])

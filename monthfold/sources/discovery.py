@@ -24,11 +24,16 @@ def glob_literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def logical_name(path: Column, directory: str) -> Column:
-    """First path component below ``directory``: a file, or a directory of part files."""
+def _base(directory: str) -> str:
     base = urlsplit(directory).path.rstrip("/") + "/"
     if not base.startswith("/"):
         raise ValueError(f"not an absolute path or URI: {directory}")
+    return base
+
+
+def logical_name(path: Column, directory: str) -> Column:
+    """First path component below ``directory``: a file, or a directory of part files."""
+    base = _base(directory)
     below = F.substr(path, F.locate(base, path) + F.lit(len(base)))
     return F.substring_index(below, "/", 1)
 
@@ -46,6 +51,7 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "sales_*.csv"
     them; its parts share one ``source_file``. File contents are not read, and zero
     matches give an empty frame. Zero-byte files do not appear in a Spark listing.
     """
+    _base(directory)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
         found = reader.load(f"{glob_literal(directory.rstrip('/'))}/{pattern}")

@@ -28,7 +28,7 @@ if __name__ == "__main__":
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
-    wanted = sys.argv[2:] or list(entry.queries())
+    wanted = sys.argv[2:] or list(entry.oracle_sql())
     bad = []
     for name in wanted:
         started = time.time()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfold.llm import exact_dedup, mixing
+from monthfold.llm import exact_dedup, mixing, packing
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op4_packing(spark, sf_dir):
+    """Every document's pieces and their places in sequences of 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 @query
 def op7_mixing(spark, sf_dir):
     """Words taken of every document for the target mix of sources."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfold.llm import exact_dedup, mixing, packing
+from monthfold.llm import exact_dedup, mixing, packing, quality
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_quality(spark, sf_dir):
+    """Every document's probability of label 1 of quality."""
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     """Path of a public tokenizer's file, the same on every machine."""
     import public_tokenizers

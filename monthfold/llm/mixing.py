@@ -126,8 +126,9 @@ def stretches(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHA
     )
     blocks = placed.withColumn("block", F.explode_outer(covered))
     slots = plan_slots(goals, block_words, shards).withColumnsRenamed({"source_id": "_id", "block": "_block"})
-    # Block indexes spread a hot source over all tasks.
-    met = blocks.join(slots, (F.col("source_id") == F.col("_id")) & (F.col("block") == F.col("_block")), "left")
+    # Block indexes spread a hot source over all tasks. Expanded rows are no part of
+    # the planner's estimate of the slots, so it must be told not to broadcast them.
+    met = blocks.join(slots.hint("merge"), (F.col("source_id") == F.col("_id")) & (F.col("block") == F.col("_block")), "left")
     begin = F.greatest(F.col("start"), F.col("block") * block_words)
     end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
     taken = F.col("slot").isNotNull()

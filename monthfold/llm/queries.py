@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfold.llm import exact_dedup, mixing, packing, quality
+from monthfold.llm import exact_dedup, licences, mixing, packing, quality, sharding
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_sharding(spark, sf_dir):
+    """Every document's shard by the permutation-filled table."""
+    return sharding.place(table(spark, sf_dir, "documents"), "doc_id")
+
+
 @query
 def op3_quality(spark, sf_dir):
     """Every document's probability of label 1 of quality."""
@@ -40,6 +46,16 @@ def op4_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+@query
+def op5_licences(spark, sf_dir):
+    """The licences of every document and the sentences that show them."""
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[F.concat_ws(",", c).alias(c) for c in ("licences", "line_ids", "sentence_ids")])
+
+
+ORACLE["op5_licences"] = licences.scan_sql()
+
+
 @query
 def op7_mixing(spark, sf_dir):
     """Words taken of every document for the target mix of sources."""

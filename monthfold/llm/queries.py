@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfold.llm import exact_dedup, licences, mixing, packing, quality, sharding
+from monthfold.llm import exact_dedup, licences, mixing, packing, quality, sharding, topk
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -56,6 +56,26 @@ def op5_licences(spark, sf_dir):
 ORACLE["op5_licences"] = licences.scan_sql()
 
 
+@query
+def op6_topk(spark, sf_dir):
+    """The 20 best rows by inner product for every 20th vector."""
+    return topk.search_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op6_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.ints, c.ints), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
 @query
 def op7_mixing(spark, sf_dir):
     """Words taken of every document for the target mix of sources."""

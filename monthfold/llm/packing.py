@@ -12,11 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthfold.llm.common import numbered, own, whole_text, written
+from monthfold.llm.units import WIDE_SPACES, is_space, row_groups, spread, text_bytes
 
 MOST = 2048
 END = 0
@@ -39,16 +42,12 @@ def tokenise(docs: DataFrame, tokenizer_path: str, most: int = MOST, end: int =
     A text is cut before each white space that follows another character: no
     token spans such a cut, so equal units have equal ids and are encoded once.
     """
-
     def run(batches: Iterator) -> Iterator:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import numpy as np
-        import pyarrow as pa
         from tokenizers import Tokenizer
 
-        from monthfold.llm.units import row_groups, text_bytes
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         tokenizer.encode_special_tokens = True
@@ -79,10 +78,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, most: int = MOST, end: int =
 
 def encode(data, bounds, tokenizer, known: dict, end: int):
     """Ids of all rows end to end (unsigned 32-bit), each row followed by ``end``; bounds by row."""
-    import numpy as np
-    import pyarrow as pa
 
-    from monthfold.llm.units import spread
 
     start, row = unit_starts(data, bounds)
     stop = np.append(start[1:], len(data))
@@ -122,9 +118,7 @@ def encode(data, bounds, tokenizer, known: dict, end: int):
 def unit_starts(data, bounds):
     """Where units start, and their rows: at rows, and before white space that
     follows a character which is certainly none."""
-    import numpy as np
 
-    from monthfold.llm.units import WIDE_SPACES, is_space
 
     cuts = np.zeros(len(data), bool)
     space = is_space(data)
@@ -147,8 +141,6 @@ def unit_starts(data, bounds):
 
 def cut(lengths, most: int):
     """Row, number, start and length of the pieces of rows of these lengths."""
-    import numpy as np
-
     count = -(-lengths // most)
     row = np.repeat(np.arange(len(lengths)), count)
     piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)

@@ -11,11 +11,14 @@ The network is fitted on the driver to a bounded sample of labelled documents
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthfold.llm.common import own, whole_text
+from monthfold.llm.units import row_groups, text_bytes
 
 FIT_ROWS = 4000
 FIT_CHARS = 200_000
@@ -40,8 +43,6 @@ def held_out(folds: int = FOLDS, fold: int = HELD_OUT):
 def chunks(texts: list) -> tuple:
     """Chunks of byte arrays with the text each is of. A chunk starts where the last
     one's next filter position would be, so no position is lost; short ones are padded."""
-    import numpy as np
-
     step = (CHUNK - WIDTH) // STRIDE * STRIDE + STRIDE
     parts, owner = [], []
     for i, body in enumerate(texts):
@@ -57,8 +58,6 @@ def chunks(texts: list) -> tuple:
 
 def convolve(model: dict, parts: list) -> tuple:
     """Responses of all filters at all positions of some chunks."""
-    import numpy as np
-
     data = np.concatenate(parts)
     sizes = np.array([(len(p) - WIDTH) // STRIDE + 1 for p in parts])
     first = np.cumsum([0, *map(len, parts)])[:-1]
@@ -71,8 +70,6 @@ def convolve(model: dict, parts: list) -> tuple:
 
 def pooled(model: dict, texts: list):
     """The highest response of every filter in every text."""
-    import numpy as np
-
     best = np.full((len(texts), FILTERS), -np.inf, np.float32)
     parts, owner = chunks(texts)
     low = size = 0
@@ -86,7 +83,6 @@ def pooled(model: dict, texts: list):
 
 
 def probability(model: dict, texts: list):
-    import numpy as np
 
     if "bytes" not in model:
         return np.full(len(texts), model["prior"])
@@ -100,8 +96,6 @@ def fit(texts: list, labels, steps: int = STEPS, seed: int = 5) -> dict:
     Without both labels there is nothing to learn: every score is then the share
     of label 1, or a half if there are no labels.
     """
-    import numpy as np
-
     labels = np.asarray(labels, np.float32)
     if len(labels) == 0 or labels.min() == labels.max():
         return {"prior": float(labels.mean()) if len(labels) else 0.5}
@@ -131,8 +125,6 @@ def fit(texts: list, labels, steps: int = STEPS, seed: int = 5) -> dict:
 
 def gradient(model: dict, texts: list, labels) -> dict:
     """Slope of the loss: only the position of each maximum takes part."""
-    import numpy as np
-
     best = np.full((len(texts), FILTERS), -np.inf, np.float32)
     patch = np.zeros((len(texts), FILTERS, WIDTH * DEPTH), np.float32)
     origin = np.zeros((len(texts), FILTERS, WIDTH), np.uint8)
@@ -169,8 +161,6 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_char
     documents are found by a broadcast of those ids. Texts of over ``fit_chars``
     code points are left out of the sample. Null labels teach nothing.
     """
-    import numpy as np
-
     known = own(labels, "doc_id", "quality").where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(fit_rows)
     texts = own(docs, "doc_id", "text").select("doc_id", whole_text().alias("text"))
@@ -182,12 +172,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_char
 
 def scorer(model: dict):
     """The probability of label 1 as a function of a text column."""
-
     def score(column):
-        import numpy as np
-        import pyarrow as pa
-
-        from monthfold.llm.units import row_groups, text_bytes
 
         data, bounds = text_bytes(column)
         out = np.zeros(len(bounds) - 1)
@@ -196,8 +181,6 @@ def scorer(model: dict):
         return pa.array(out)
 
     # Annotated here: annotations in this module are strings, which the decorator does not read.
-    import pyarrow as pa
-
     score.__annotations__ = {"column": pa.Array, "return": pa.Array}
     return F.arrow_udf(score, T.DoubleType())
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfold.llm import exact_dedup, licences, mixing, packing, quality, sharding, topk
+from monthfold.llm import brown, exact_dedup, licences, mixing, packing, quality, sharding, topk
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_brown(spark, sf_dir):
+    """Every document's log10 probability under the class bigram model."""
+    return brown.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_sharding(spark, sf_dir):
     """Every document's shard by the permutation-filled table."""

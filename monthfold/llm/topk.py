@@ -14,6 +14,8 @@ the best k of a query are taken from those.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +49,6 @@ def pack(ids, lists) -> dict:
 
     A shorter vector is filled with zeros, which add nothing to a product.
     """
-    import numpy as np
-
     ids = ids.to_numpy(zero_copy_only=False).astype(np.int64)
     if hasattr(lists, "combine_chunks"):
         lists = lists.combine_chunks()
@@ -64,7 +64,6 @@ def pack(ids, lists) -> dict:
 
 
 def unpack(ids: bytes, kind: str, width: int, body: bytes):
-    import numpy as np
 
     own = np.frombuffer(ids, np.int64)
     return own, np.frombuffer(body, kind).reshape(len(own), width)
@@ -72,8 +71,6 @@ def unpack(ids: bytes, kind: str, width: int, body: bytes):
 
 def search(query_ids, queries, ids, rows, top: int):
     """The ``top`` best rows of a block for each of some queries: query index, row index, score."""
-    import numpy as np
-
     width = max(queries.shape[1], rows.shape[1])
     queries, rows = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (queries, rows))
     n = len(ids)
@@ -152,8 +149,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     groups = max(1, -(-queries.count() // GROUP_QUERIES))
 
     def blocks(batches):
-        import pyarrow as pa
-
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(at, BLOCK_ROWS)
@@ -161,16 +156,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([pack(part.column("vec_id"), part.column("ints"))], pa.schema(fields))
 
     def gather(key, found):
-        import pyarrow as pa
-
         packed = pack(found.column("vec_id").combine_chunks(), found.column("ints"))
         fields = [("group", pa.int32()), ("ids", pa.binary()), ("kind", pa.string()), ("width", pa.int32()), ("body", pa.binary())]
         return pa.Table.from_pylist([{"group": key[0].as_py(), **packed}], pa.schema(fields))
 
     def cells(batches):
-        import numpy as np
-        import pyarrow as pa
-
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {name: batch.column(name)[r].as_py() for name in batch.schema.names}

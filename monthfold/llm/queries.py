@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfold.llm import brown, exact_dedup, licences, mixing, packing, quality, sharding, topk
+from monthfold.llm import brown, exact_dedup, jaccard, licences, mixing, packing, quality, sharding, topk
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -88,6 +88,12 @@ def op7_mixing(spark, sf_dir):
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_jaccard(spark, sf_dir):
+    """Every document's class of near copies and its number of links."""
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_exact_dedup(spark, sf_dir):
     """The row that stays for every document, by digest of its normalised text."""

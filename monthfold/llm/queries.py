@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfold.llm import brown, exact_dedup, jaccard, licences, mixing, packing, quality, sharding, topk
+from monthfold.llm import brown, exact_dedup, jaccard, licences, mixing, packing, quality, sharding, suffixes, topk
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -111,3 +111,10 @@ r AS (
   FROM d WINDOW g AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id))
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r
 """
+
+
+@query
+def op10_suffixes(spark, sf_dir):
+    """What is left of every document without passages that stand earlier."""
+    left = suffixes.remaining(table(spark, sf_dir, "documents"))
+    return left.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")

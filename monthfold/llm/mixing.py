@@ -75,7 +75,7 @@ def permuted(index: Column, size: Column, turn: Column) -> Column:
 
 
 def plan_slots(goals: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS) -> DataFrame:
-    """One row per slot: source_id, slot, shard, block (index in its source)."""
+    """One row per slot: source_id, slot, turn (pass over the source), shard, block (index in its source)."""
     blocks = F.ceil(F.col("source_size") / block_words).cast("long")
     passes = F.floor(F.col("target") / F.col("source_size")).cast("long")
     rest = F.round((F.col("target") - passes * F.col("source_size")) / block_words).cast("long")
@@ -91,6 +91,7 @@ def plan_slots(goals: DataFrame, block_words: int = BLOCK_WORDS, shards: int = S
     return slot.select(
         "source_id",
         "slot",
+        turn.cast("long").alias("turn"),
         F.pmod(F.xxhash64(F.lit(SEED), "source_id", "slot"), F.lit(shards)).cast("int").alias("shard"),
         permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), turn).alias("block"),
     )
@@ -107,18 +108,15 @@ def stream_layout(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return running(keyed, ["source_id"], [F.col("doc_id"), F.col("size")], "size"), goals
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS) -> DataFrame:
+def stretches(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS) -> DataFrame:
     """One row per taken stretch of a document: doc_id, source, size, source_size,
-    target, shard, slot, first (word in the document, from 0), words.
+    target, shard, slot, turn, first (word in the document, from 0), words; and the
+    document's start in its source's stream.
 
-    Documents that give nothing have one row with null shard, slot and first, and
-    words 0. Null texts have size 0; a null source is a source, the last. Rows
+    Documents that give nothing have one row with null shard, slot, turn and first,
+    and words 0. Null texts have size 0; a null source is a source, the last. Rows
     that repeat are separate documents. An empty table gives no rows.
     """
-    return stretches(docs, block_words, shards)
-
-
-def stretches(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS) -> DataFrame:
     placed, goals = stream_layout(docs)
     covered = F.when(
         F.col("size") > 0,
@@ -133,7 +131,7 @@ def stretches(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHA
     end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
     taken = F.col("slot").isNotNull()
     return met.select(
-        "doc_id", "source", "size", "source_size", "target", "shard", "slot",
+        "doc_id", "source", "size", "source_size", "target", "shard", "slot", "turn",
         F.when(taken, begin - F.col("start")).alias("first"),
         F.when(taken, end - begin).otherwise(F.lit(0)).cast("long").alias("words"),
         "start",
@@ -148,3 +146,25 @@ def taken_words(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         .agg(F.sum("words").cast("long").alias("taken"))
         .select("doc_id", "size", "source_size", "target", "taken")
     )
+
+
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``: what each pass over the sources takes.
+
+    A document has one row for each pass that takes words of it; its text is the
+    words taken, with the white space before them, in their order. A column
+    ``n_chars`` is counted anew. Documents without words have nothing to take.
+    """
+    parts = stretches(docs, block_words).where("words > 0")
+    takes = parts.groupBy("doc_id", "source", "size", "start", "turn").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_takes"))
+    copies = Window.partitionBy("doc_id", "source", "size").orderBy("start")
+    takes = takes.withColumn("_copy", F.dense_rank().over(copies)).select(F.struct("doc_id", "source", "size").alias("_id"), "_copy", "_takes")
+    named = docs.withColumn("_id", F.struct(F.col("doc_id").alias("doc_id"), F.col("source").alias("source"), word_count().alias("size")))
+    same = Window.partitionBy("_id").orderBy(F.xxhash64(whole_text()))
+    met = named.withColumn("_copy", F.row_number().over(same)).join(takes.hint("merge"), ["_id", "_copy"])
+    words = F.regexp_extract_all(whole_text(), F.lit(r"[\x20\x09-\x0D]*" + WORD_CLASS), F.lit(0))
+    chosen = F.flatten(F.transform("_takes", lambda t: F.slice("_words", (t["first"] + 1).cast("int"), t["words"].cast("int"))))
+    mixed = met.withColumn("_words", words).withColumn("text", F.array_join(chosen, ""))
+    if "n_chars" in docs.columns:
+        mixed = mixed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return mixed.select(docs.columns)

@@ -1,11 +1,21 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage is one operator of the llm subpackage and works on all that the stage
+before it kept. Between stages, rows are written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from monthfold.llm import exact_dedup, jaccard, mixing, packing, quality
 from monthfold.llm.common import written
-from monthfold.llm import exact_dedup, mixing
+from monthfold.llm.queries import tokenizer_file
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte-level classifier accepts."""
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,17 +23,36 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_unique(docs)
 
 
-STAGES = [("exact_dedup", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every class of similar texts."""
+    return jaccard.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' words in the target mix of sources; a document may come up to three times."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixed documents and their places in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, tokenizer_file())
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
-# The classifier and the similarity join are not SQL: tests compare with brute force.
+# The classifier, the similarity join and the tokenizer are not SQL: tests check the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that the last stage gives for the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for at, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if at < len(STAGES) - 1:
-            docs = written(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -286,12 +286,12 @@ def score_texts(docs: DataFrame, vocabulary: Vocabulary, model: Model, counts: D
             own_count = np.where(unit_of >= singles, gain, 0.0)
             value = step[classes[last], classes[unit]] + emit[unit] + own_count[codes]
             sizes = np.bincount(row, minlength=rows)
-            total = np.bincount(row, value, minlength=rows)
+            total = np.bincount(row, value, minlength=rows).astype(np.float64)
             final = np.full(rows, end)
             ends = np.cumsum(sizes) - 1
             final[sizes > 0] = unit[ends[sizes > 0]]
             total += step[classes[final], classes[end]] + emit[end]
-            base = np.bincount(row, gain[codes], minlength=rows) + np.log10(texts + 1.0)
+            base = np.bincount(row, gain[codes], minlength=rows).astype(np.float64) + np.log10(texts + 1.0)
             known = np.bincount(row, count[codes] > 0, minlength=rows).astype(np.int64) + (texts > 0)
             ids = serial + np.arange(rows)
             serial += rows

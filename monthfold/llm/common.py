@@ -16,8 +16,23 @@ FOLDERS: dict[str, str] = {}
 
 
 def own(docs: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that further columns cannot clash with helpers."""
-    return docs.select(*[F.col(f"`{name}`") for name in names])
+    """Only the named columns, so that further columns cannot clash with helpers.
+
+    Columns are taken by their place: others may differ from them by case only.
+    """
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.select(*[F.col(f"c{docs.columns.index(name)}").alias(name) for name in names])
+
+
+def carried(docs: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and whole rows as one column ``doc``, for ``restored``."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.select(F.struct(*plain.columns).alias("doc"), *[F.col(f"c{docs.columns.index(name)}").alias(name) for name in names])
+
+
+def restored(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` out of ``doc``; those that are ``changed`` from their expressions."""
+    return rows.select(*[changed.get(name, F.col(f"doc.c{i}")).alias(name) for i, name in enumerate(docs.columns)])
 
 
 def whole_text(name: str = "text") -> Column:

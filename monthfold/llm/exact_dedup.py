@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthfold.llm.common import SPACE_CLASS, own, whole_text, written
+from monthfold.llm.common import SPACE_CLASS, carried, own, restored, whole_text, written
 
 RUNS = 64
 FAN_IN = 8
@@ -89,10 +89,11 @@ def exact_unique(docs: DataFrame) -> DataFrame:
     Rows with one doc_id and one normalised text are the same document; of them
     the longest comes, once.
     """
-    kept = exact_groups(docs).where("kept").select(F.struct("doc_id").alias("_id"), F.col("text_sha256").alias("_key"))
+    kept = exact_groups(docs).where("kept").select(F.struct("doc_id").alias("id"), F.col("text_sha256").alias("key"))
     digest = F.sha2(F.regexp_replace(whole_text(), SPACE_CLASS, "").cast("binary"), 256)
-    keyed = docs.withColumns({"_id": F.struct(F.col("doc_id").alias("doc_id")), "_key": digest})
+    rows = carried(docs, "doc_id", "text")
+    keyed = rows.select("doc", F.struct("doc_id").alias("id"), digest.alias("key"), F.char_length(whole_text()).alias("chars"))
     # Same keys as the join, so the texts are shuffled once for both.
-    twin = Window.partitionBy("_id", "_key").orderBy(F.char_length(whole_text()).desc())
-    one = keyed.withColumn("_twin", F.row_number().over(twin)).where("_twin = 1")
-    return one.join(kept, ["_id", "_key"], "left_semi").select(docs.columns)
+    twin = Window.partitionBy("id", "key").orderBy(F.col("chars").desc())
+    one = keyed.withColumn("twin", F.row_number().over(twin)).where("twin = 1")
+    return restored(one.join(kept, ["id", "key"], "left_semi"), docs)

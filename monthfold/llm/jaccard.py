@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthfold.llm.common import SPACE_CLASS, own, whole_text, written
+from monthfold.llm.common import SPACE_CLASS, carried, own, restored, whole_text, written
 from monthfold.llm.groups import components
 from monthfold.llm.units import row_groups, slices, spread, text_bytes, word_spans
 
@@ -261,7 +261,11 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose id is that of their class, with all their columns."""
-    kept = similar(docs, threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.struct("doc_id").alias("_id")).distinct()
-    keyed = docs.withColumn("_id", F.struct(F.col("doc_id").cast("long").alias("doc_id")))
-    return keyed.join(kept, "_id", "left_semi").select(docs.columns)
+    """The documents whose id is that of their class, with all their columns.
+
+    Of rows that share the id of their class, those of that class's text all stay.
+    """
+    told = similar(docs, threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    kept = told.select(F.struct("doc_id").alias("id")).distinct()
+    rows = carried(docs, "doc_id").select("doc", F.struct(F.col("doc_id").cast("long").alias("doc_id")).alias("id"))
+    return restored(rows.join(kept, "id", "left_semi"), docs)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthfold.llm.common import WORD_CLASS, own, running, whole_text, written
+from monthfold.llm.common import WORD_CLASS, carried, own, restored, running, whole_text, written
 
 BLOCK_WORDS = 64
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -156,15 +156,17 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     ``n_chars`` is counted anew. Documents without words have nothing to take.
     """
     parts = stretches(docs, block_words).where("words > 0")
-    takes = parts.groupBy("doc_id", "source", "size", "start", "turn").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_takes"))
+    takes = parts.groupBy("doc_id", "source", "size", "start", "turn").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("takes"))
     copies = Window.partitionBy("doc_id", "source", "size").orderBy("start")
-    takes = takes.withColumn("_copy", F.dense_rank().over(copies)).select(F.struct("doc_id", "source", "size").alias("_id"), "_copy", "_takes")
-    named = docs.withColumn("_id", F.struct(F.col("doc_id").alias("doc_id"), F.col("source").alias("source"), word_count().alias("size")))
-    same = Window.partitionBy("_id").orderBy(F.xxhash64(whole_text()))
-    met = named.withColumn("_copy", F.row_number().over(same)).join(takes.hint("merge"), ["_id", "_copy"])
+    takes = takes.withColumn("copy", F.dense_rank().over(copies)).select(F.struct("doc_id", "source", "size").alias("id"), "copy", "takes")
+    rows = carried(docs, "doc_id", "source", "text")
+    named = rows.select("doc", "text", F.struct("doc_id", "source", word_count().alias("size")).alias("id"))
+    same = Window.partitionBy("id").orderBy(F.xxhash64(whole_text()))
+    met = named.withColumn("copy", F.row_number().over(same)).join(takes.hint("merge"), ["id", "copy"])
     words = F.regexp_extract_all(whole_text(), F.lit(r"[\x20\x09-\x0D]*" + WORD_CLASS), F.lit(0))
-    chosen = F.flatten(F.transform("_takes", lambda t: F.slice("_words", (t["first"] + 1).cast("int"), t["words"].cast("int"))))
-    mixed = met.withColumn("_words", words).withColumn("text", F.array_join(chosen, ""))
+    chosen = F.flatten(F.transform("takes", lambda t: F.slice("all_words", (t["first"] + 1).cast("int"), t["words"].cast("int"))))
+    mixed = met.withColumn("all_words", words).withColumn("taken", F.array_join(chosen, ""))
+    changed = {"text": F.col("taken")}
     if "n_chars" in docs.columns:
-        mixed = mixed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed.select(docs.columns)
+        changed["n_chars"] = F.char_length("taken").cast(docs.schema["n_chars"].dataType)
+    return restored(mixed, docs, **changed)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthfold.llm.common import own, whole_text
+from monthfold.llm.common import carried, own, restored, whole_text
 from monthfold.llm.units import row_groups, text_bytes
 
 FIT_ROWS = 4000
@@ -200,4 +200,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
 def accepted(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The documents with a score of 0.7 or more, with all their columns."""
     score = scorer(learn(docs, labels, fit_rows))
-    return docs.where(score(whole_text()) >= ACCEPTED)
+    rows = carried(docs, "text").select("doc", score(whole_text()).alias("score"))
+    return restored(rows.where(F.col("score") >= ACCEPTED), docs)

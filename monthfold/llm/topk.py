@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthfold.llm.common import written
+from monthfold.llm.common import own, written
 
 SCALE = 64
 TOP = 20
@@ -39,7 +39,7 @@ def quantised(vectors: DataFrame, id_name: str = "vec_id", vector: str = "embedd
     Left out: null ids, null vectors, vectors with null or non-finite components.
     """
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
-    rows = vectors.select(F.col(f"`{id_name}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
+    rows = own(vectors, id_name, vector).toDF("vec_id", "v").select(F.col("vec_id").cast("long"), F.col("v").cast("array<double>"))
     sound = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", finite))
     return sound.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(float(scale)))).alias("ints"))
 

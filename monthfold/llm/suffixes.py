@@ -30,13 +30,15 @@ from monthfold.llm.units import row_groups, slices, spread, text_bytes
 
 LENGTH = 100
 GRAM = 20
-HOT = 64
+HOT = 256
 RANGES = 4096
 SAMPLE = 500
 LAST = 2**63 - 1
 #: Bytes of text that a task looks at together.
 AT_ONCE = 4_000_000
-KNOWN = 255
+#: Counts share a number with positions, below this bound; the bound itself means hot.
+COUNTS = 1024
+KNOWN = COUNTS - 1
 
 
 def mixed(x):
@@ -89,10 +91,10 @@ def anchors(data, bounds, length: int, gram: int):
 
 
 def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(key, doc, info) per anchor: key its gram, info its position * 256 and how often the gram is met here.
+    """(key, doc, info) per anchor: key its gram, info its position * COUNTS and how often the gram is met here.
 
     Of a gram that one task's rows hold ``HOT`` times or more, one row goes under
-    the gram with that count; the others are known to be hot (255) and go under
+    the gram with that count; the others are known to be hot and go under
     keys of their own.
     """
 
@@ -122,7 +124,7 @@ def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
             key = np.where(free, mixed((doc[row] * 1_000_003 + place).astype(np.uint64)).view(np.int64), key)
             for at in range(0, len(key), 1_000_000):
                 part = slice(at, at + 1_000_000)
-                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(doc[row[part]]), pa.array(place[part] * 256 + count[part])], ["key", "doc", "info"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(doc[row[part]]), pa.array(place[part] * COUNTS + count[part])], ["key", "doc", "info"])
 
     return docs.mapInArrow(run, "key long, doc long, info long")
 
@@ -221,10 +223,10 @@ def stretches(met: DataFrame, splitters, length: int, gram: int) -> DataFrame:
                 start, end = inner[row] + first, inner[row] + last + length
                 bodies = slices(text, start, end)
                 same = bodies.dictionary_encode().indices.to_numpy().astype(np.int64) * (length + 1) + (place - first)
-                lead = np.unique(same, return_index=True)[1]
-                fresh = np.zeros(len(same), bool)
-                fresh[lead] = True
-                again = ~fresh
+                _, lead, code = np.unique(same, return_index=True, return_inverse=True)
+                head = lead[code]
+                fresh = head == np.arange(len(same))
+                again = ~fresh & ((names[row] != names[row[head]]) | (first != first[head]))
                 r, b, e = merged(row[again], first[again], last[again] + length)
                 if len(r):
                     yield part(REPEAT, names[r] % RANGES, names[r], np.zeros(len(r), np.int64), names[r], b, None, e - b, None)
@@ -240,11 +242,22 @@ def stretches(met: DataFrame, splitters, length: int, gram: int) -> DataFrame:
                     count = last[single] - first[single] + 1
                     at = spread(start[single], count)
                     one, two = hash_of(words, at, length, 2), hash_of(words, at, length, 3)
-                    whose = np.repeat(single, count)
+                    r = row[np.repeat(single, count)]
+                    b = at - inner[r]
+                    # Of equal strings only the first goes on.
+                    order = np.lexsort((b, names[r], two, one))
+                    r, b, one, two = r[order], b[order], one[order], two[order]
+                    fresh = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
+                    n = int(fresh.sum())
                     yield part(
-                        STRING, (one % np.uint64(RANGES)).astype(np.int64), one.view(np.int64), two.view(np.int64), names[row[whose]],
-                        at - inner[row[whose]], None, np.zeros(len(at), np.int64), None,
+                        STRING, (one[fresh] % np.uint64(RANGES)).astype(np.int64), one[fresh].view(np.int64), two[fresh].view(np.int64),
+                        names[r[fresh]], b[fresh], None, np.zeros(n, np.int64), None,
                     )
+                    head = np.repeat(np.flatnonzero(fresh), np.diff(np.append(np.flatnonzero(fresh), len(r))))
+                    again = ~fresh & ((names[r] != names[r[head]]) | (b != b[head]))
+                    r, b, e = merged(r[again], b[again], b[again] + length)
+                    if len(r):
+                        yield part(REPEAT, names[r] % RANGES, names[r], np.zeros(len(r), np.int64), names[r], b, None, e - b, None)
 
     return met.mapInArrow(run, PARTS)
 
@@ -355,8 +368,8 @@ def remaining(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFr
     )
     splitters = leading_splitters(rows, length, gram)
     found = anchor_rows(rows, length, gram)
-    found = found.selectExpr("doc", "info", "sum(info & 255) over (partition by key) as total").where("total > 1")
-    places = found.selectExpr("doc", f"(shiftright(info, 8) * 2) + if(total >= {HOT}, 1, 0) as place")
+    found = found.selectExpr("doc", "info", f"sum(info % {COUNTS}) over (partition by key) as total").where("total > 1")
+    places = found.selectExpr("doc", f"(info div {COUNTS}) * 2 + if(total >= {HOT}, 1, 0) as place")
     listed = places.groupBy("doc").agg(F.collect_list("place").alias("places"))
     # Both joins with the texts use one shuffle of them.
     met = rows.join(listed.hint("merge"), "doc").select("doc", "text", "places")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthfold.llm.common import own, whole_text, written
-from monthfold.llm.units import slices, text_bytes, word_spans
+from monthfold.llm.units import by_bytes, slices, text_bytes, word_spans
 
 OWN_CLASS = 2e-5
 LISTED = 2e-6
@@ -36,6 +36,8 @@ SLAB = 512
 FOLDS, HELD_OUT = 7, 2
 UNIT_SMOOTHING = 0.5
 CLASS_SMOOTHING = 5.0
+#: Bytes of text that a task looks at together.
+AT_ONCE = 8_000_000
 
 
 def held_out():
@@ -68,7 +70,7 @@ def tails(words):
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, n) over the training texts; ``docs`` has doc_id and text."""
     def run(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, AT_ONCE):
             words, codes, _, _ = words_of(batch.column("text"))
             n = np.bincount(codes, minlength=len(words))
             yield pa.RecordBatch.from_arrays([words.cast(pa.binary()), pa.array(n)], ["word", "n"])
@@ -130,7 +132,7 @@ def unit_texts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     listed, singles, end = pa.array(vocabulary.listed, pa.large_binary()), vocabulary.singles, vocabulary.units - 1
 
     def run(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, AT_ONCE):
             words, codes, row, rows = words_of(batch.column("text"))
             _, unit = lookup(words, listed, singles)
             body = np.full(len(codes) + rows, end, np.uint16)
@@ -274,7 +276,7 @@ def score_texts(docs: DataFrame, vocabulary: Vocabulary, model: Model, counts: D
 
     def run(batches):
         serial = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in by_bytes(batches, AT_ONCE):
             words, codes, row, rows = words_of(batch.column("text"))
             place, unit_of = lookup(words, listed, singles)
             count = listed_counts[place]

@@ -34,6 +34,14 @@ def row_groups(sizes: np.ndarray, most: int):
         yield start, len(sizes)
 
 
+def by_bytes(batches, most: int, name: str = "text"):
+    """The rows of Arrow batches in batches of about ``most`` bytes of text."""
+    for batch in batches:
+        _, bounds = text_bytes(batch.column(name))
+        for low, high in row_groups(np.diff(bounds), most):
+            yield batch.slice(low, high - low)
+
+
 def is_space(data: np.ndarray) -> np.ndarray:
     """Which bytes are one of ``\\x20 \\x09-\\x0D``."""
     return (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))

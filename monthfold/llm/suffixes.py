@@ -30,12 +30,13 @@ from monthfold.llm.units import row_groups, slices, spread, text_bytes
 
 LENGTH = 100
 GRAM = 20
-HOT = 256
+HOT = 1000
 RANGES = 4096
 SAMPLE = 500
 LAST = 2**63 - 1
-#: Bytes of text that a task looks at together.
+#: Bytes of text that a task looks at together, and among which equal stretches are found at once.
 AT_ONCE = 4_000_000
+TOGETHER = 16_000_000
 #: Counts share a number with positions, below this bound; the bound itself means hot.
 COUNTS = 1024
 KNOWN = COUNTS - 1
@@ -197,7 +198,7 @@ def stretches(met: DataFrame, splitters, length: int, gram: int) -> DataFrame:
             lists = batch.column("places")
             ends = lists.offsets.to_numpy().astype(np.int64)
             values = lists.values.to_numpy()
-            for low, high in row_groups(np.diff(bounds), AT_ONCE):
+            for low, high in row_groups(np.diff(bounds), TOGETHER):
                 inner = bounds[low : high + 1] - bounds[low]
                 text = data[bounds[low] : bounds[high]]
                 own_values = values[ends[low] : ends[high]]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 
 from catalog.tables import DELIVERIES, IDS, MEASURES
 from monthfold.functions.months import MONTHS
@@ -146,7 +147,7 @@ def _registry() -> str:
     rows = []
     for measures, names in _shape_rows().items():
         columns = sorted([*IDS, *measures])
-        key = hashlib.sha256(",".join(columns).encode()).hexdigest()
+        key = hashlib.sha256(json.dumps(columns, separators=(",", ":")).encode()).hexdigest()
         files = ", ".join(f"'{name}'" for name in names)
         rows.append(
             f"SELECT '{key}' AS schema_key, 'cols_{len(columns)}_sales_{len(measures)}' AS count_key, "

@@ -24,7 +24,7 @@ from monthfold.sinks import writers
 from monthfold.sinks.scratch import fresh_folder
 from monthfold.sources.discovery import list_files, logical_files, read_headers
 from monthfold.sources.tables import read_table
-from monthfold.sources.wide import group_by_header, read_wide, with_provenance
+from monthfold.sources.wide import BEYOND, group_by_header, read_wide, with_provenance
 from monthfold.state import tables as state
 from monthfold.streaming.available_now import run_available_now
 
@@ -443,7 +443,7 @@ def _scan(spark: SparkSession, source: str, names: DataFrame | None = None) -> D
     if names is not None:
         listing = listing.join(names, "source_file", "left_semi")
     headers = read_headers(spark, [row.path for row in listing.select("path").collect()])
-    return reshape.union_shapes([read_wide(spark, shape, source) for shape in group_by_header(headers)])
+    return reshape.union_shapes([read_wide(spark, shape, source).drop(BEYOND) for shape in group_by_header(headers)])
 
 
 def _records_per_file(rows: DataFrame) -> DataFrame:

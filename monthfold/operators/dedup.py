@@ -64,6 +64,7 @@ def dedup_wide(
     cells: Mapping[str, tuple[Column, Column]],
     determined: Sequence[str] = (),
     value: str = "sales_amount",
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Long rows with one row per key and month, folded before they are unpivoted.
 
@@ -71,7 +72,8 @@ def dedup_wide(
     result equals unpivoting, keeping the cells that take part, and :func:`dedup`
     within the keys; but the shuffle moves one row per wide row instead of one per
     cell. Which cells took part is kept as bits, because a cell may take part with
-    a NULL amount.
+    a NULL amount. ``spread`` names columns by which the folded rows are dealt anew
+    before they are unpivoted, for a write that is partitioned by them.
     """
     group = list(dict.fromkeys([*keys, *[c for c in determined if c in df.columns]]))
     labels = list(cells)
@@ -100,6 +102,8 @@ def dedup_wide(
         *[F.max(label).alias(label) for label in labels],
         *[F.bit_or(f"__bits_{number}").alias(f"__bits_{number}") for number in range(len(blocks))],
     )
+    if spread:
+        folded = folded.hint("rebalance", *spread)
     packed = folded.select(
         *names,
         *[

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from monthfold.functions.months import MONTHS
 from monthfold.schema import CURATED_NOT_NULL, IDENTIFIER_TYPES, WIDTHS
+from monthfold.sources.wide import BEYOND
 
 # Columns that a long row gets from its month alone.
 MONTHLY = ("month", "month_number")
@@ -101,6 +102,7 @@ def row_rules(
         found.append(
             ("unparseable_identifier", _holds(F.arrays_overlap(F.map_keys("unparsed"), F.lit(names))))
         )
+        found.append(("row_beyond_header", holds_key(F.col("unparsed"), BEYOND)))
     found += [
         (f"too_long_{c}", _holds(F.length(F.col(f"`{c}`")) > width))
         for c, width in profile.widths.items()

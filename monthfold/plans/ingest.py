@@ -14,11 +14,13 @@ from functools import reduce
 from operator import add
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthfold.config import ConfigError, IngestConfig
+from monthfold.functions.months import MONTHS
 from monthfold.operators import reports
 from monthfold.operators.dedup import dedup, dedup_wide
 from monthfold.operators.reshape import to_output, union_shapes, unpivot_months
@@ -32,7 +34,7 @@ from monthfold.plans.normalize import (
 )
 from monthfold.schema import CURATED, IDENTIFIER_COLUMNS
 from monthfold.sinks.scratch import shared_folder
-from monthfold.sinks.writers import append, write_curated, write_json, write_quarantine
+from monthfold.sinks.writers import append, delete_files, write_curated, write_json, write_quarantine
 from monthfold.sources.discovery import list_files, logical_files, read_headers
 from monthfold.sources.tables import read_or_empty
 from monthfold.sources.wide import Shape, group_by_header, read_wide, typed_wide, with_provenance
@@ -43,7 +45,7 @@ log = logging.getLogger(__name__)
 # Names the long form adds; an input column may not take one.
 RESERVED = frozenset(
     "source_file load_timestamp month month_number quarter sales_amount sales_raw "
-    "unparsed is_valid reject_reasons shape run_id".split()
+    "unparsed is_valid reject_reasons shape run_id cell".split()
 )
 
 
@@ -92,21 +94,34 @@ def read_curated(spark: SparkSession, cfg: IngestConfig, committed: bool = True,
     """The curated table with its declared columns and any ``extra`` identifiers.
 
     By default only the rows of each file's latest successful run; with
-    ``committed=False`` everything that is stored.
+    ``committed=False`` everything that is stored. Under ``dedup_scope: global``
+    duplicates between files are left out here, among what is then committed: a
+    file that is rewritten or goes brings back the rows it outdid.
     """
+    path = Places.of(cfg).curated
     fields = [*CURATED.fields, T.StructField("run_id", T.StringType())]
-    fields += [T.StructField(c, T.StringType()) for c in extra]
+    stored = list(extra)
+    if committed and cfg.dedup_scope == "global":
+        stored = sorted({*extra, *_further_identifiers(spark, cfg)})
+    fields += [T.StructField(c, T.StringType()) for c in stored]
     schema = T.StructType(fields)
-    path = Places.of(cfg).curated
     if cfg.output_format == "parquet":
         rows = read_or_empty(spark, path, schema)
     else:
         rows = spark.read.format(cfg.output_format).schema(schema).load(path)
     if committed:
         rows = state.committed(rows, read_ledger(spark, cfg))
+        if cfg.rules().dedup and cfg.dedup_scope == "global":
+            rows = dedup(rows, [*IDENTIFIER_COLUMNS, *stored, "month"], "global", determined=("month_number", "quarter"))
     return rows.select(*CURATED.names, *extra)
 
 
+def _further_identifiers(spark: SparkSession, cfg: IngestConfig) -> set[str]:
+    """Identifiers beyond the declared ones that any registered file has."""
+    names = read_registry(spark, cfg).select(F.explode("identifier_columns").alias("name")).distinct()
+    return {r.name for r in names.collect()} - {*CURATED.names, "run_id"}
+
+
 def read_quarantine(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     """Rejects of each file's latest successful run."""
     long = [field for field in CURATED.fields]
@@ -129,31 +144,50 @@ def _judge(
         path: _columns(header, cfg, rules)[1] for path, header in headers.items() if not isinstance(header, Exception)
     }
     measure_names = {name.lower() for names in measured.values() for name in names}
+    labels = {label.lower() for names in measured.values() for label in names.values()} | {m.lower() for m in MONTHS}
     for path, header in headers.items():
         problem = (
             f"error: {header}"
             if isinstance(header, Exception)
-            else _header_problem(header, set(measured[path]), measure_names)
+            else _header_problem(header, set(measured[path]), measure_names, labels)
         )
         if problem:
             status[file_of[path]] = problem
     sound = {path: header for path, header in headers.items() if file_of[path] not in status}
     with_rows = {file_of[path] for path in sound if measured[path]}
+    for path in sound:
+        if file_of[path] in with_rows and not measured[path]:
+            # Its rows would be left out: the file as a whole is not what it should be.
+            status[file_of[path]] = "error: a part has no measure columns"
+    sound = {path: header for path, header in sound.items() if file_of[path] not in status}
     for path in sound:
         status[file_of[path]] = state.SUCCESS if file_of[path] in with_rows else state.SKIPPED
     return status, sound
 
 
-def _header_problem(columns: tuple[str, ...], measures: set[str], measure_names: set[str]) -> str | None:
+def _header_problem(
+    columns: tuple[str, ...], measures: set[str], measure_names: set[str], labels: set[str]
+) -> str | None:
+    """Why files with this header cannot be read, if so.
+
+    ``labels`` are the months of the calendar and those of the run's measures: a
+    column may not be called like one, nor like a declared identifier in another case.
+    """
     lowered = Counter(name.lower() for name in columns)
     repeated = sorted(name for name, times in lowered.items() if times > 1)
     if repeated:
         return f"error: duplicate columns {repeated}"
-    taken = sorted(lowered.keys() & RESERVED)
+    taken = sorted((lowered.keys() & RESERVED) | {name for name in lowered if name.startswith("__")})
     if taken:
         return f"error: reserved column names {taken}"
     alike = sorted(name for name in columns if name not in measures and name.lower() in measure_names)
-    return f"error: columns differ from measures by case only {alike}" if alike else None
+    if alike:
+        return f"error: columns differ from measures by case only {alike}"
+    months = sorted(name for name in columns if name.lower() in labels)
+    if months:
+        return f"error: columns are called like months {months}"
+    cased = sorted(name for name in columns if name not in IDENTIFIER_COLUMNS and name.lower() in IDENTIFIER_COLUMNS)
+    return f"error: columns differ from identifiers by case only {cased}" if cased else None
 
 
 def _columns(header: tuple[str, ...], cfg: IngestConfig, rules: Profile) -> tuple[list[str], dict[str, str]]:
@@ -185,6 +219,7 @@ class Staged:
     ids: list[str]
     measures: dict[str, str]
     present: dict[str, Column]
+    constants: dict[str, Column]
 
     @property
     def provenance(self) -> list[str]:
@@ -226,11 +261,14 @@ def _stage(
             status[bad] = "error: failed to read"
             readable = {path: header for path, header in readable.items() if file_of[path] != bad}
             continue
-        return _described(spark.read.schema(rows.schema).parquet(folder), shapes, cfg, rules)
+        constants = {"load_timestamp": F.lit(run_ts).cast("timestamp"), "run_id": F.lit(run_id)}
+        return _described(spark.read.schema(rows.schema).parquet(folder), shapes, cfg, rules, constants)
     return None
 
 
-def _described(rows: DataFrame, shapes: list[Shape], cfg: IngestConfig, rules: Profile) -> Staged:
+def _described(
+    rows: DataFrame, shapes: list[Shape], cfg: IngestConfig, rules: Profile, constants: dict[str, Column]
+) -> Staged:
     measures: dict[str, str] = {}
     holders: dict[str, list[int]] = {}
     stored = {name.lower(): name for name in rows.columns}
@@ -242,7 +280,7 @@ def _described(rows: DataFrame, shapes: list[Shape], cfg: IngestConfig, rules: P
     present = {
         name: F.col("shape").isin(numbers) for name, numbers in holders.items() if len(numbers) < len(shapes)
     }
-    return Staged(rows, [name for name in holders if name not in measures], measures, present)
+    return Staged(rows, [name for name in holders if name not in measures], measures, present, constants)
 
 
 def _flagged(staged: Staged, rules: Profile) -> DataFrame:
@@ -261,24 +299,26 @@ def _flagged(staged: Staged, rules: Profile) -> DataFrame:
 
 
 def _write_long(
-    staged: Staged, cfg: IngestConfig, rules: Profile, accepted: dict[str, tuple[Column, Column]], incremental: bool
+    staged: Staged, cfg: IngestConfig, rules: Profile, accepted: dict[str, tuple[Column, Column]]
 ) -> int:
     """Write the curated rows; returns how many, counted by the write itself."""
     extra = sorted(set(staged.ids) - set(IDENTIFIER_COLUMNS))
-    if rules.dedup and cfg.dedup_scope == "file":
-        kept = add_calendar(dedup_wide(staged.rows, [*staged.ids, *staged.provenance], accepted), rules)
+    constants = {c: staged.constants[c] for c in ("load_timestamp", "run_id")}
+    if rules.dedup:
+        # Folded wide rows are dealt for the write before they are unpivoted: one row for up to twelve.
+        spread = [c for c in cfg.partition_by if c in staged.ids]
+        kept = dedup_wide(staged.rows, [*staged.ids, "source_file"], accepted, spread=spread)
+        kept, dealt = add_calendar(kept.withColumns(constants), rules), bool(spread)
     else:
-        kept = split(_flagged(staged, rules))[0].drop("unparsed", "sales_raw")
-        if rules.dedup:
-            kept = dedup(kept, [*staged.ids, "month"], cfg.dedup_scope, determined=DETERMINED)
+        kept, dealt = split(_flagged(staged, rules))[0].drop("unparsed", "sales_raw"), False
     counted = Observation()
+    # Always added, never replaced: rows count once the ledger names their run.
     write_curated(
         to_output(kept.observe(counted, F.count(F.lit(1)).alias("kept")), ["run_id", *extra]),
         Places.of(cfg).curated,
-        mode="append" if incremental else "overwrite",
         fmt=cfg.output_format,
         parts=cfg.partition_by,
-        dynamic=cfg.refresh == "touched_partitions",
+        dealt=dealt,
     )
     return counted.get["kept"]
 
@@ -353,16 +393,21 @@ def run(
     sums = counts.agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns if c != "source_file"]
     ).head()
-    if staged is not None and (sums.valid_records or not incremental):
-        written = _write_long(staged, cfg, rules, accepted, incremental)
+    if staged is not None and sums.valid_records:
+        written = _write_long(staged, cfg, rules, accepted)
         removed = sums.valid_records - written
     if sums.invalid_records and rules.keep_rejects:
         rejected = split(_flagged(staged, rules))[1]
         write_quarantine(rejected.drop("is_valid"), places.quarantine)
 
-    if status:
-        seen = {(file_of[path], header) for path, header in sound.items()}
-        _record_state(spark, cfg, run_id, now, wanted, counts, status, seen)
+    seen = {(file_of[path], header) for path, header in sound.items()}
+    gone = None
+    if not incremental and cfg.refresh == "full" and only is None:
+        gone = state.replaced(ledger, files, run_id, now)
+    if status or gone is not None:
+        _record_state(spark, cfg, run_id, now, wanted, counts, status, seen, gone)
+    if not incremental:
+        remove_superseded(spark, cfg)
     errors = [(name, text) for name, text in sorted(status.items()) if text.startswith("error")]
     ended = datetime.now(timezone.utc)
     metrics = spark.createDataFrame(
@@ -399,8 +444,12 @@ def _record_state(
     counts: DataFrame,
     status: Mapping[str, str],
     seen: set[tuple[str, tuple[str, ...]]],
+    gone: DataFrame | None = None,
 ) -> None:
-    """Append new schemas, their drift events, and last of all the ledger rows."""
+    """Append new schemas, their drift events, and last of all the ledger rows.
+
+    ``gone``: ledger rows of files that a full refresh no longer found.
+    """
     places = Places.of(cfg)
     if cfg.enable_schema_registry:
         schemas = spark.createDataFrame([(f, list(h)) for f, h in sorted(seen)], "source_file string, columns array<string>")
@@ -412,7 +461,30 @@ def _record_state(
         append(new, places.registry)
     labels = spark.createDataFrame(sorted(status.items()), "source_file string, status string")
     rows = state.ledger_rows(wanted.join(labels, "source_file"), counts, run_id, now)
-    append(rows, places.ledger)
+    append(rows if gone is None else rows.unionByName(gone), places.ledger)
+
+
+def remove_superseded(spark: SparkSession, cfg: IngestConfig) -> int:
+    """Delete stored files that hold no committed row any more; returns how many.
+
+    Rows of runs that stopped, of former versions of a file, and of files that a full
+    refresh no longer found are invisible already; this frees their space. A data
+    file with a committed row stays whole, so stopping on the way loses nothing. Only
+    for file formats that Spark writes as they are.
+    """
+    places, ledger, removed = Places.of(cfg), read_ledger(spark, cfg), 0
+    stored = "source_file string, run_id string"
+    for path, fmt in ((places.curated, cfg.output_format), (places.quarantine, "parquet")):
+        if fmt != "parquet":
+            continue
+        try:
+            rows = spark.read.schema(stored).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        removed += delete_files(spark, state.dead_files(rows, ledger))
+    return removed
 
 
 def write_summary(spark: SparkSession, cfg: IngestConfig) -> DataFrame:

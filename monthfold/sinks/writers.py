@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_curated(
@@ -14,15 +14,17 @@ def write_curated(
     fmt: str = "parquet",
     parts: Sequence[str] = ("year", "month"),
     dynamic: bool = False,
+    dealt: bool = False,
 ) -> None:
     """Write the long table, partitioned by ``parts``.
 
     The rebalance hint lets adaptive execution bring the rows of a partition
     together into few files and split a partition that is too large for one task,
     instead of every task writing a file into every partition. With ``dynamic``, an
-    overwrite replaces only the partitions that the new rows belong to.
+    overwrite replaces only the partitions that the new rows belong to. ``dealt``
+    says that the rows have been brought together before.
     """
-    if parts:
+    if parts and not dealt:
         df = df.hint("rebalance", *parts)
     writer = df.write.mode(mode).format(fmt)
     if parts:
@@ -33,8 +35,23 @@ def write_curated(
 
 
 def write_quarantine(df: DataFrame, path: str) -> None:
-    """Write rejects with one folder per input file, replacing those of files read again."""
-    write_curated(df, path, mode="overwrite", parts=("source_file",), dynamic=True)
+    """Add rejects; those of a file's latest recorded run are the ones that count.
+
+    One folder per run where rows have a ``run_id``, so folders do not grow with files.
+    """
+    write_curated(df, path, parts=("run_id",) if "run_id" in df.columns else ())
+
+
+def delete_files(spark: SparkSession, paths: DataFrame) -> int:
+    """Delete the files that a frame of one column names; returns how many there were.
+
+    Names come from the driver one partition at a time.
+    """
+    jvm, conf, count = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for row in paths.toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row[0]))
+        count += bool(path.getFileSystem(conf).delete(path, False))
+    return count
 
 
 def save_table(

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 LISTING = "path string, source_file string, length bigint, modification_time timestamp"
 
-# Up to this many files a one-line read each is quicker than a pass over the text.
-SMALL_LISTING = 256
+# Headers are read by so many jobs at a time, each over the first block of one file.
 HEADER_THREADS = 16
 
 
@@ -83,53 +82,23 @@ def parse_header(line: str) -> tuple[str, ...]:
 
 
 def _first_line(spark: SparkSession, path: str) -> str | Exception:
+    """The first line that is not blank, which is the one a scan takes as header."""
+    filled = F.length(F.translate("value", "\ufeff \t\r", "")) > 0
     try:
-        row = spark.read.text(glob_literal(path)).head()
+        row = spark.read.text(glob_literal(path)).where(filled).head()
     except Exception as error:  # one unreadable file must not stop the others
         return error
     return row.value if row else ValueError("file has no header line")
 
 
-def _first_lines_in_one_pass(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """First lines of many files from one narrow pass over their text.
-
-    Every split is its own partition here, so the row that opens a partition opens
-    its split, and it is a header exactly when the split starts its file.
-    """
-    session = spark.newSession()
-    for setting in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
-        session.conf.set(setting, str(128 << 20))
-    session.conf.unset("spark.sql.files.maxPartitionNum")
-    position_bits = (1 << 33) - 1
-    lines = session.read.option("ignoreCorruptFiles", True).text([glob_literal(p) for p in paths])
-    opening = (
-        lines.select(
-            "value",
-            scanned_path().alias("file_path"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().bitwiseAND(F.lit(position_bits)).alias("position"),
-        )
-        .where((F.col("position") == 0) & (F.col("start") == 0))
-        .select("file_path", "value")
-    )
-    return {row.file_path: row.value for row in opening.collect()}
-
-
-def read_headers(
-    spark: SparkSession, paths: Iterable[str], small: int = SMALL_LISTING
-) -> Mapping[str, tuple[str, ...] | Exception]:
+def read_headers(spark: SparkSession, paths: Iterable[str]) -> Mapping[str, tuple[str, ...] | Exception]:
     """Header of each file, or the error that reading it raised.
 
-    Holds file names and header lines on the driver, nothing else.
+    One way for any number of files: a limit of one row, so that of a file of any
+    size only the first block is read. Holds file names and header lines on the
+    driver, nothing else.
     """
     wanted = list(paths)
-    found: dict[str, str | Exception] = {}
-    if len(wanted) > small:
-        found.update(_first_lines_in_one_pass(spark, wanted))
-    rest = [path for path in wanted if path not in found]
     with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        found.update(zip(rest, pool.map(lambda path: _first_line(spark, path), rest)))
-    return {
-        path: found[path] if isinstance(found[path], Exception) else parse_header(found[path])
-        for path in wanted
-    }
+        found = dict(zip(wanted, pool.map(lambda path: _first_line(spark, path), wanted), strict=True))
+    return {path: line if isinstance(line, Exception) else parse_header(line) for path, line in found.items()}

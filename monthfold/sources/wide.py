@@ -15,6 +15,10 @@ from monthfold.schema import AMOUNT, IDENTIFIER_TYPES
 from monthfold.sources.discovery import glob_literal, logical_name, scanned_path
 
 
+# What a row has beyond its header; also its key among the texts that were not parsed.
+BEYOND = "__beyond_header"
+
+
 @dataclass(frozen=True)
 class Shape:
     """Files that share one header. The order counts: a scan binds columns by position."""
@@ -36,9 +40,9 @@ def read_wide(spark: SparkSession, shape: Shape, directory: str) -> DataFrame:
 
     The schema comes from the header, so nothing is inferred and no type depends on
     the values that a file happens to hold. A row shorter than its header is padded
-    with NULL.
+    with NULL. Of a longer one, ``BEYOND`` holds the first cell that is too many.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in shape.columns])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*shape.columns, BEYOND)])
     scan = spark.read.csv([glob_literal(p) for p in shape.paths], header=True, schema=schema)
     return scan.select("*", logical_name(scanned_path(), directory).alias("source_file"))
 
@@ -54,11 +58,18 @@ def typed_wide(df: DataFrame, ids: Sequence[str], measures: Mapping[str, str]) -
     declared = {c: IDENTIFIER_TYPES[c] for c in ids if c in IDENTIFIER_TYPES} | dict.fromkeys(measures, AMOUNT)
     declared = {c: dtype for c, dtype in declared.items() if df.schema[c].dataType != dtype}
     cast = {c: f"try_cast({quoted(c)} AS {dtype.simpleString()})" for c, dtype in declared.items()}
+    for c, dtype in declared.items():
+        if isinstance(dtype, T.IntegerType) and isinstance(df.schema[c].dataType, T.StringType):
+            # 5.0 is the integer 5, as exports write a column that has gaps.
+            whole = f"{quoted(c)} RLIKE '^\\\\s*[+-]?[0-9]+[.]0*\\\\s*$'"
+            cast[c] = f"coalesce({cast[c]}, IF({whole}, try_cast(substring_index({quoted(c)}, '.', 1) AS int), NULL))"
     lost = {
         c: f"{quoted(c)} IS NOT NULL AND {cast[c]} IS NULL"
         for c, dtype in declared.items()
         if not isinstance(dtype, T.StringType)
     }
+    if BEYOND in df.columns:
+        lost[BEYOND] = f"{quoted(BEYOND)} IS NOT NULL"
     unparsed = "CAST(NULL AS map<string,string>)"
     if lost:
         entries = ", ".join(
@@ -66,7 +77,7 @@ def typed_wide(df: DataFrame, ids: Sequence[str], measures: Mapping[str, str]) -
             for c, gone in lost.items()
         )
         unparsed = f"IF({' OR '.join(lost.values())}, map_from_entries(array_compact(array({entries}))), NULL)"
-    columns = [f"{cast[c]} AS {quoted(c)}" if c in cast else quoted(c) for c in df.columns]
+    columns = [f"{cast[c]} AS {quoted(c)}" if c in cast else quoted(c) for c in df.columns if c != BEYOND]
     return df.selectExpr(*columns, f"{unparsed} AS unparsed")
 
 

@@ -215,3 +215,89 @@ def test_stream_batch_that_is_repeated_adds_nothing(spark, source, cfg_for, tmp_
     run_available_now(spark, cfg, str(tmp_path / "one")).awaitTermination()
     run_available_now(spark, cfg, str(tmp_path / "two")).awaitTermination()
     assert by_name(cells(spark, cfg, committed=False)) == by_name(Q1 + Q2)
+
+
+def test_rows_that_do_not_fit_their_header_are_rejects(spark, tmp_path, cfg_for):
+    put(tmp_path / "in", "sales_a.csv", f"\n{IDS},Jan_sales\n{ANN},2,99,98\n{BOB},3,\n1.0,Ann,1.,TX,5.00,S5,2025,4\n1.5,Ann,1,TX,5,S5,2025,4\n")
+    cfg = cfg_for(tmp_path / "in")
+    row = ingest.run(spark, cfg).head()
+    assert (row.input_records, row.valid_records, row.invalid_records, row.errors) == (4, 2, 2, [])
+    assert cells(spark, cfg) == [("sales_a.csv", 1, "Jan", "4.00"), ("sales_a.csv", 2, "Jan", "3.00")]
+    rejects = {(tuple(r.reject_reasons), tuple(r.unparsed.values())) for r in ingest.read_quarantine(spark, cfg).collect()}
+    assert rejects == {(("row_beyond_header",), ("99",)), (("null_salesperson_id", "unparseable_identifier"), ("1.5",))}
+
+
+def test_odd_headers_are_errors_of_their_files(spark, source, cfg_for):
+    put(source, "sales_month.csv", f"{IDS},Jan,Jan_sales\n{ANN},x,2\n")
+    put(source, "sales_label.csv", f"{IDS},apr,May_sales\n{ANN},x,2\n")
+    put(source, "sales_cell.csv", f"{IDS},cell,Jan_sales\n{ANN},x,2\n")
+    put(source, "sales_inner.csv", f"{IDS},__bits_0,Jan_sales\n{ANN},x,2\n")
+    put(source, "sales_case.csv", f"{IDS.replace('salesperson_id', 'Salesperson_ID')},Jan_sales\n{ANN},2\n")
+    put(source, "sales_parts.csv/part-0.csv", f"{IDS},Jan_sales\n{ANN},2\n")
+    put(source, "sales_parts.csv/part-1.csv", f"{BOB},3\n{BOB},3\n")
+    cfg = cfg_for(source)
+    for _ in range(2):
+        row = ingest.run(spark, cfg).head()
+        assert {e.file for e in row.errors} == {f"sales_{n}.csv" for n in ("month", "label", "cell", "inner", "case", "parts")}
+        assert by_name(cells(spark, cfg)) == by_name(Q1 + Q2)
+    assert row.files_processed == 0
+
+
+@pytest.mark.parametrize("step", ["_write_long", "write_quarantine", "_record_state"])
+def test_full_refresh_that_stops_leaves_the_former_rows(spark, source, cfg_for, monkeypatch, step):
+    cfg = cfg_for(source)
+    ingest.run(spark, cfg)
+    rejects = ingest.read_quarantine(spark, cfg).count()
+    put(source, "sales_q2.csv", f"{IDS},Apr_sales\n{ANN},70\n{BOB},-80\n")
+    os.remove(source / "sales_q1.csv")
+    real = getattr(ingest, step)
+
+    def stop(*args, **kw):
+        if step != "_record_state":
+            real(*args, **kw)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, step, stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            ingest.run(spark, cfg, incremental=False)
+    assert by_name(cells(spark, cfg)) == by_name(Q1 + Q2) and ingest.read_quarantine(spark, cfg).count() == rejects
+    ingest.run(spark, cfg, incremental=False)
+    latest = [("sales_q2.csv", 1, "Apr", "70.00")]
+    assert cells(spark, cfg) == latest == cells(spark, cfg, committed=False)
+    assert [r.sales_amount for r in ingest.read_quarantine(spark, cfg).collect()] == [Decimal("-80.00")]
+
+
+def test_refresh_without_files_leaves_nothing(spark, source, cfg_for):
+    cfg = cfg_for(source)
+    ingest.run(spark, cfg)
+    for name in ("sales_q1.csv", "sales_q2.csv"):
+        os.remove(source / name)
+    ingest.run(spark, cfg, incremental=False)
+    assert cells(spark, cfg) == [] == cells(spark, cfg, committed=False)
+
+
+def test_global_scope_brings_back_what_a_rewritten_file_outdid(spark, tmp_path, cfg_for):
+    folder = tmp_path / "in"
+    put(folder, "sales_a.csv", f"{IDS},Jan_sales\n{ANN},9\n")
+    put(folder, "sales_b.csv", f"{IDS},Jan_sales\n{ANN},5\n")
+    cfg = cfg_for(folder, dedup_scope="global")
+    ingest.run(spark, cfg)
+    assert cells(spark, cfg) == [("sales_a.csv", 1, "Jan", "9.00")]
+    put(folder, "sales_a.csv", f"{IDS},Jan_sales\n{BOB},1\n")
+    ingest.run(spark, cfg)
+    assert cells(spark, cfg) == [("sales_a.csv", 2, "Jan", "1.00"), ("sales_b.csv", 1, "Jan", "5.00")]
+
+
+def test_no_shuffle_above_the_unpivot(spark, source, cfg_for, monkeypatch):
+    plans = []
+    real = ingest.write_curated
+
+    def watched(df, *args, **kw):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        real(df, *args, **kw)
+
+    monkeypatch.setattr(ingest, "write_curated", watched)
+    ingest.run(spark, cfg_for(source))
+    (plan,) = plans
+    assert plan.index("Expand") < plan.index("RebalancePartitions")

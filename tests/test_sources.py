@@ -57,14 +57,13 @@ def test_header_parsing():
     assert parse_header("") == ()
 
 
-@pytest.mark.parametrize("small", [0, 1000])
-def test_headers_by_both_ways(spark, tmp_path, small):
+def test_headers_of_many_files(spark, tmp_path):
     for number in range(30):
         body = "1,2\n" * (50_000 if number == 0 else 3)
         put(tmp_path, f"sales_{number}.csv", f"a,b{number % 4}\n{body}")
     put(tmp_path, "sales_only_header.csv", "a,b\n")
     paths = [row.path for row in list_files(spark, str(tmp_path)).collect()]
-    got = read_headers(spark, paths, small=small)
+    got = read_headers(spark, paths)
     assert len(got) == 31
     for path, header in got.items():
         number = os.path.basename(path).removeprefix("sales_").removesuffix(".csv")
@@ -78,10 +77,19 @@ def test_header_of_a_broken_file_is_an_error(spark, tmp_path):
     with open(tmp_path / "sales_good.csv.gz", "wb") as handle:
         handle.write(gzip.compress(b"a,c\n1,2\n"))
     paths = [row.path for row in list_files(spark, str(tmp_path), "sales_*").collect()]
-    for small in (0, 1000):
-        got = {os.path.basename(path): header for path, header in read_headers(spark, paths, small=small).items()}
-        assert got["sales_ok.csv"] == ("a",) and got["sales_good.csv.gz"] == ("a", "c")
-        assert isinstance(got["sales_bad.csv.gz"], Exception)
+    paths.append(f"file:{tmp_path}/sales_gone.csv")
+    got = {os.path.basename(path): header for path, header in read_headers(spark, paths).items()}
+    assert got["sales_ok.csv"] == ("a",) and got["sales_good.csv.gz"] == ("a", "c")
+    assert isinstance(got["sales_bad.csv.gz"], Exception) and isinstance(got["sales_gone.csv"], Exception)
+
+
+def test_blank_lines_before_the_header(spark, tmp_path):
+    put(tmp_path, "sales_a.csv", "\n  \na,b\n1,2\n")
+    (path,) = [row.path for row in list_files(spark, str(tmp_path)).collect()]
+    headers = read_headers(spark, [path])
+    assert headers == {path: ("a", "b")}
+    (shape,) = group_by_header(headers)
+    assert [(r.a, r.b) for r in read_wide(spark, shape, str(tmp_path)).collect()] == [("1", "2")]
 
 
 def test_shapes_follow_the_column_order():
@@ -93,7 +101,7 @@ def test_short_rows_are_padded(spark, tmp_path):
     put(tmp_path, "sales_a.csv", "store_id,Jan_sales,Feb_sales\n1,2\n3,4,5\n")
     (shape,) = group_by_header(read_headers(spark, [str(tmp_path / "sales_a.csv")]))
     got = sorted(map(tuple, read_wide(spark, shape, str(tmp_path)).drop("source_file").collect()))
-    assert got == [("1", "2", None), ("3", "4", "5")]
+    assert got == [("1", "2", None, None), ("3", "4", "5", None)]
 
 
 def test_unparsed_values_are_kept(spark):

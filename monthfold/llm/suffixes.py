@@ -123,6 +123,9 @@ def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
             count[head[size >= HOT]] = HOT
             free = count == KNOWN
             key = np.where(free, mixed((doc[row] * 1_000_003 + place).astype(np.uint64)).view(np.int64), key)
+            # In the order of the texts: neighbouring rows differ in few bytes, which the shuffle packs well.
+            order = np.lexsort((place, row))
+            key, row, place, count = key[order], row[order], place[order], count[order]
             for at in range(0, len(key), 1_000_000):
                 part = slice(at, at + 1_000_000)
                 yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(doc[row[part]]), pa.array(place[part] * COUNTS + count[part])], ["key", "doc", "info"])
@@ -170,9 +173,9 @@ def merged(row, begin, end):
     return row[head], begin[head], (np.append(far[head[1:] - 1], far[-1]) - apart[head])
 
 
-PARTS = "range int, key long, second long, doc long, begin long, anchor int, last int, body binary"
+PARTS = "range int, key long, doc long, begin long, anchor int, last int, body binary"
 FIELDS = pa.schema(
-    [("range", pa.int32()), ("key", pa.int64()), ("second", pa.int64()), ("doc", pa.int64()), ("begin", pa.int64()),
+    [("range", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("begin", pa.int64()),
      ("anchor", pa.int32()), ("last", pa.int32()), ("body", pa.binary())]
 )
 #: What ``anchor`` says of rows that are no stretch: a repeat already, a single string by its hash.
@@ -185,10 +188,10 @@ def stretches(met: DataFrame, splitters, length: int, gram: int) -> DataFrame:
     ``places``: position * 2, plus 1 if the gram is hot.
     """
 
-    def part(kind, range_, key, second, doc, begin, anchor, last, body):
+    def part(kind, range_, key, doc, begin, anchor, last, body):
         n = len(doc)
-        arrays = [range_, key, second, doc, begin, np.full(n, kind) if anchor is None else anchor, last]
-        types = [f.type for f in FIELDS][:7]
+        arrays = [range_, key, doc, begin, np.full(n, kind) if anchor is None else anchor, last]
+        types = [f.type for f in FIELDS][:6]
         return pa.RecordBatch.from_arrays([*[pa.array(a).cast(t) for a, t in zip(arrays, types, strict=True)], pa.nulls(n, pa.binary()) if body is None else body], schema=FIELDS)
 
     def run(batches):
@@ -230,12 +233,12 @@ def stretches(met: DataFrame, splitters, length: int, gram: int) -> DataFrame:
                 again = ~fresh & ((names[row] != names[row[head]]) | (first != first[head]))
                 r, b, e = merged(row[again], first[again], last[again] + length)
                 if len(r):
-                    yield part(REPEAT, names[r] % RANGES, names[r], np.zeros(len(r), np.int64), names[r], b, None, e - b, None)
+                    yield part(REPEAT, names[r] % RANGES, names[r], names[r], b, None, e - b, None)
                 whole = np.flatnonzero(fresh & ~hot)
                 if len(whole):
                     leading = words[start[whole] + place[whole] - first[whole]].byteswap()
                     yield part(
-                        0, np.searchsorted(splitters, leading, "right"), hashed[whole].view(np.int64), np.zeros(len(whole), np.int64), names[row[whole]],
+                        0, np.searchsorted(splitters, leading, "right"), hashed[whole].view(np.int64), names[row[whole]],
                         first[whole], place[whole] - first[whole], last[whole] - first[whole], bodies.take(pa.array(whole)).cast(pa.binary()),
                     )
                 single = np.flatnonzero(fresh & hot)
@@ -249,16 +252,18 @@ def stretches(met: DataFrame, splitters, length: int, gram: int) -> DataFrame:
                     order = np.lexsort((b, names[r], two, one))
                     r, b, one, two = r[order], b[order], one[order], two[order]
                     fresh = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
-                    n = int(fresh.sum())
+                    # Told apart by 95 bits: the key and what else fits into the column of sizes.
+                    k = np.flatnonzero(fresh)
+                    k = k[np.lexsort((b[k], r[k]))]
                     yield part(
-                        STRING, (one[fresh] % np.uint64(RANGES)).astype(np.int64), one[fresh].view(np.int64), two[fresh].view(np.int64),
-                        names[r[fresh]], b[fresh], None, np.zeros(n, np.int64), None,
+                        STRING, (one[k] % np.uint64(RANGES)).astype(np.int64), one[k].view(np.int64),
+                        names[r[k]], b[k], None, (two[k] >> np.uint64(33)).astype(np.int64), None,
                     )
                     head = np.repeat(np.flatnonzero(fresh), np.diff(np.append(np.flatnonzero(fresh), len(r))))
                     again = ~fresh & ((names[r] != names[r[head]]) | (b != b[head]))
                     r, b, e = merged(r[again], b[again], b[again] + length)
                     if len(r):
-                        yield part(REPEAT, names[r] % RANGES, names[r], np.zeros(len(r), np.int64), names[r], b, None, e - b, None)
+                        yield part(REPEAT, names[r] % RANGES, names[r], names[r], b, None, e - b, None)
 
     return met.mapInArrow(run, PARTS)
 
@@ -304,7 +309,7 @@ def repeats(parts: DataFrame, length: int) -> DataFrame:
         found = [(doc[known], begin[known], last[known].astype(np.int64))]
         single = np.flatnonzero(kind == STRING)
         if len(single):
-            key, second = table.column("key").to_numpy()[single], table.column("second").to_numpy()[single]
+            key, second = table.column("key").to_numpy()[single], last[single]
             order = np.lexsort((second, key))
             change = np.append(True, (np.diff(key[order]) != 0) | (np.diff(second[order]) != 0))
             hit = single[order][later(np.cumsum(change), doc[single][order], begin[single][order])]

@@ -180,7 +180,25 @@ _RUN_TOTALS = f"""SELECT CAST({len(DELIVERIES)} AS BIGINT) AS files_discovered,
 _DELIVERED_VALID = _with_delivered(f"SELECT {_LONG} FROM d WHERE NOT {_BAD_STRICT}")
 _LONG_ROWS = _with_long(f"SELECT {_LONG} FROM l")
 
+_VALID = "(sales_amount >= 0 AND sales_amount <= 200000)"
+_NO_ID = " OR ".join(f"r.{c} IS NULL" for c in IDS)
+_CALENDAR = "c(label, number) AS (VALUES " + ", ".join(f"('{m}', {i})" for i, m in enumerate(MONTHS, start=1)) + ")"
+# Each line has a cell for each month: its own, and eleven empty ones.
+_CELLS = f"""WITH {_REPEATED}, {_CALENDAR}, cells AS (
+  SELECT {", ".join(f"r.{c}" for c in IDS)}, label AS month, number AS month_number,
+         CASE WHEN r.month = label THEN sales_amount END AS sales_amount,
+         NOT ({_NO_ID}) AND (r.month <> label OR {_VALID}) AS valid FROM r CROSS JOIN c),
+k AS (SELECT {_IDS}, month, month_number, CAST(MAX(sales_amount) AS DOUBLE) AS sales_amount, COUNT(*) AS n
+  FROM cells WHERE valid GROUP BY ALL)"""
+
 ORACLE: dict[str, str] = {
+    "ingest_with_repeats": f"{_CELLS} SELECT {_IDS}, month, month_number, sales_amount FROM k",
+    "repeats_removed": f"""{_CELLS} SELECT (SELECT COUNT(*) FROM r) AS input_records, (SELECT COUNT(*) FROM cells) AS long_records,
+      CAST(SUM(n) AS BIGINT) AS valid_records, CAST(SUM(n - 1) AS BIGINT) AS duplicates_removed, COUNT(*) AS total_records FROM k""",
+    "full_refresh_replaces": _with_long(
+        f"""SELECT {_IDS}, month, CAST(sales_amount AS DOUBLE) AS sales_amount, 'sales_refreshed.csv' AS source_file
+        FROM l WHERE year >= 1996 AND NOT {_BAD_STRICT}"""
+    ),
     "unpivot_keep_nulls": _with_wide(_UNPIVOT_KEEP.format(frame="w")),
     "unpivot_drop_nulls": _with_wide(_UNPIVOT_DROP),
     "unpivot_union_all": _with_wide(_UNION),
@@ -207,7 +225,12 @@ ORACLE: dict[str, str] = {
           CASE WHEN sales_amount IS NULL THEN 'unparseable_amount' ELSE 'negative_amount' END AS reject_reasons
           FROM l WHERE sales_amount IS NULL OR sales_amount < 0"""
     ),
-    "melt_column_order": _LONG_ROWS,
+    "melt_column_order": _with_long(
+        " UNION ALL ".join(
+            f"SELECT {i} AS position, '{c}' AS name, COUNT({c}) AS n FROM l"
+            for i, c in enumerate([*IDS, "source_file", "sales_amount", "month", "month_number", "quarter"])
+        )
+    ),
     "union_shapes_by_name": _with_wide(_SHAPES),
     "normalize_all_shapes": _DELIVERED_VALID,
     "valid_strict_ids": _with_long(f"SELECT {_LONG} FROM l WHERE NOT {_BAD_STRICT}"),

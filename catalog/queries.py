@@ -150,8 +150,12 @@ def unparseable_amounts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def melt_column_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns of a melt by position, with how many values each holds."""
     rows = tables.long(spark, sf)
-    return plain(rows.select(*IDS, "source_file", "sales_amount", "month", "month_number", "quarter"))
+    melted = rows.select(*IDS, "source_file", "sales_amount", "month", "month_number", "quarter")
+    counted = melted.agg(*[F.count(c).alias(c) for c in melted.columns])
+    named = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("name"), F.col(c).alias("n")) for i, c in enumerate(counted.columns)])
+    return counted.select(F.inline(named))
 
 
 @query
@@ -580,6 +584,39 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.read_run_metrics(spark, cfg).drop("run_id", "start_time", "end_time", "duration_seconds", "errors")
 
 
+def _with_repeats(spark: SparkSession, sf: str) -> IngestConfig:
+    """A run over one file of line-level rows: each has one month, and keys repeat."""
+    source = fresh_folder(spark, "repeats")
+    cells = [F.when(F.col("month") == label, F.col("sales_amount")).alias(f"{label}_sales") for label in MONTHS]
+    writers.write_csv(tables.repeated(spark, sf).select(*IDS, *cells), f"{source}/sales_lines.csv")
+    cfg = _config(spark, source)
+    ingest.run(spark, cfg)
+    return cfg
+
+
+@query
+def ingest_with_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Curated rows of a file whose keys repeat: the largest valid amount of each key and month."""
+    return plain(ingest.read_curated(spark, _with_repeats(spark, sf)).select(*IDS, "month", "month_number", "sales_amount"))
+
+
+@query
+def repeats_removed(spark: SparkSession, sf: str) -> DataFrame:
+    counted = ingest.read_run_metrics(spark, _with_repeats(spark, sf))
+    return counted.select("input_records", "long_records", "valid_records", "duplicates_removed", "total_records")
+
+
+@query
+def full_refresh_replaces(spark: SparkSession, sf: str) -> DataFrame:
+    """What is stored after a refresh from another folder: the former deliveries are gone."""
+    first = _config(spark, tables.delivered(spark, sf))
+    ingest.run(spark, first)
+    source = fresh_folder(spark, "refreshed")
+    writers.write_csv(tables.wide(spark, sf).where("year >= 1996"), f"{source}/sales_refreshed.csv")
+    ingest.run(spark, replace(first, source=source), incremental=False)
+    return plain(ingest.read_curated(spark, first, committed=False).select(*IDS, "month", "sales_amount", "source_file"))
+
+
 @query
 def ledger_state(spark: SparkSession, sf: str) -> DataFrame:
     cfg = _config(spark, tables.delivered(spark, sf))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from monthfold.llm.common import WORD_CLASS, carried, own, restored, running, whole_text, written
 
-BLOCK_WORDS = 64
+BLOCK_WORDS = 32
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
 SHARDS = 64

@@ -11,6 +11,7 @@ by joining on their rank within their length.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ END = 0
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 PLAN = "plan_length long, first_rank long, last_rank long, first_sequence long, offset long"
 #: Bytes of text that a task tokenises at a time.
-AT_ONCE = 4_000_000
+AT_ONCE = 8_000_000
 #: Different units whose ids a task remembers.
 REMEMBERED = 1_000_000
 
@@ -51,15 +52,15 @@ def tokenise(docs: DataFrame, tokenizer_path: str, most: int = MOST, end: int =
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         tokenizer.encode_special_tokens = True
-        known: dict[bytes, np.ndarray] = {}
+        known = Known()
         for batch in batches:
             data, bounds = text_bytes(batch.column("text"))
             ids = batch.column("doc_id")
             for low, high in row_groups(np.diff(bounds), AT_ONCE):
                 part = data[bounds[low] : bounds[high]]
                 tokens, ends = encode(part, bounds[low : high + 1] - bounds[low], tokenizer, known, end)
-                if len(known) > REMEMBERED:
-                    known.clear()
+                if len(known.places) > REMEMBERED:
+                    known = Known()
                 row, piece, start, size = cut(np.diff(ends), most)
                 at = ends[row] + start
                 offsets = np.zeros(len(row) + 1, np.int32)
@@ -76,29 +77,42 @@ def tokenise(docs: DataFrame, tokenizer_path: str, most: int = MOST, end: int =
     return rows.mapInArrow(run, PIECES)
 
 
-def encode(data, bounds, tokenizer, known: dict, end: int):
-    """Ids of all rows end to end (unsigned 32-bit), each row followed by ``end``; bounds by row."""
+class Known:
+    """Units met so far, with their token ids end to end in one array."""
+
+    def __init__(self):
+        self.places: dict[bytes, int] = {}
+        self.ids = np.zeros(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)
+
+    def add(self, units: list[bytes], tokenizer) -> None:
+        encode_batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+        parts, widths = [self.ids], []
+        for low in range(0, len(units), 20_000):
+            found = [e.ids for e in encode_batch([u.decode("utf-8", "replace") for u in units[low : low + 20_000]], add_special_tokens=False)]
+            widths += map(len, found)
+            parts.append(np.fromiter(chain.from_iterable(found), np.uint32))
+        self.places.update(zip(units, range(len(self.places), len(self.places) + len(units)), strict=True))
+        self.ids = np.concatenate(parts)
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(np.array(widths, np.int64)))
 
 
+def encode(data, bounds, tokenizer, known: Known, end: int):
+    """Ids of all rows end to end (unsigned 32-bit), each row followed by ``end``; bounds by row."""
     start, row = unit_starts(data, bounds)
-    stop = np.append(start[1:], len(data))
+    if len(start) == 0:
+        return np.full(len(bounds) - 1, end, np.uint32), np.arange(len(bounds), dtype=np.int64)
     offsets = np.append(start, len(data)).astype(np.int64)
     array = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
-    coded = array.dictionary_encode() if len(start) else None
-    if coded is None:
-        return np.full(len(bounds) - 1, end, np.uint32), np.arange(len(bounds), dtype=np.int64)
+    coded = array.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     units = coded.dictionary.to_pylist()
-    fresh = [u for u in units if u not in known]
-    for low in range(0, len(fresh), 20_000):
-        some = fresh[low : low + 20_000]
-        encode_batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-        for unit, found in zip(some, encode_batch([u.decode("utf-8", "replace") for u in some], add_special_tokens=False), strict=True):
-            known[unit] = np.asarray(found.ids, np.uint32)
-    found = [known[u] for u in units]
-    width = np.fromiter(map(len, found), np.int64, len(found))
-    pool = np.concatenate(found)
-    at = np.cumsum(width) - width
+    fresh = [u for u in units if u not in known.places]
+    if fresh:
+        known.add(fresh, tokenizer)
+    place = np.fromiter(map(known.places.__getitem__, units), np.int64, len(units))
+    at, width = known.ends[place], known.ends[place + 1] - known.ends[place]
+    pool = known.ids
     # Every row's units, then its end: the end is one more unit with one id.
     pool = np.append(pool, np.uint32(end))
     rows = len(bounds) - 1

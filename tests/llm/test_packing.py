@@ -37,7 +37,7 @@ def test_units_encode_like_whole_texts(tokenizer):
     texts = ODD + ["".join(rng.choice(marks) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
     raw = [t.encode() for t in texts]
     bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    tokens, ends = packing.encode(np.frombuffer(b"".join(raw), np.uint8), bounds, tokenizer, {}, 0)
+    tokens, ends = packing.encode(np.frombuffer(b"".join(raw), np.uint8), bounds, tokenizer, packing.Known(), 0)
     for i, text in enumerate(texts):
         assert tokens[ends[i] : ends[i + 1]].tolist() == whole(tokenizer, text), repr(text)
 

@@ -117,9 +117,14 @@ def read_curated(spark: SparkSession, cfg: IngestConfig, committed: bool = True,
 
 
 def _further_identifiers(spark: SparkSession, cfg: IngestConfig) -> set[str]:
-    """Identifiers beyond the declared ones that any registered file has."""
-    names = read_registry(spark, cfg).select(F.explode("identifier_columns").alias("name")).distinct()
-    return {r.name for r in names.collect()} - {*CURATED.names, "run_id"}
+    """Identifiers beyond the declared ones that any stored file has."""
+    try:
+        stored = spark.read.format(cfg.output_format).option("mergeSchema", True).load(Places.of(cfg).curated)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    return set(stored.columns) - {*CURATED.names, "run_id"}
 
 
 def read_quarantine(spark: SparkSession, cfg: IngestConfig) -> DataFrame:

@@ -289,6 +289,16 @@ def test_global_scope_brings_back_what_a_rewritten_file_outdid(spark, tmp_path,
     assert cells(spark, cfg) == [("sales_a.csv", 2, "Jan", "1.00"), ("sales_b.csv", 1, "Jan", "5.00")]
 
 
+def test_global_scope_tells_further_identifiers_apart(spark, tmp_path, cfg_for):
+    folder = tmp_path / "in"
+    put(folder, "sales_a.csv", f"{IDS},region,Jan_sales\n{ANN},west,9\n")
+    put(folder, "sales_b.csv", f"{IDS},region,Jan_sales\n{ANN},east,5\n{ANN},west,5\n")
+    cfg = cfg_for(folder, dedup_scope="global", enable_schema_registry=False)
+    assert ingest.read_curated(spark, cfg).collect() == []
+    ingest.run(spark, cfg)
+    assert cells(spark, cfg) == [("sales_a.csv", 1, "Jan", "9.00"), ("sales_b.csv", 1, "Jan", "5.00")]
+
+
 def test_no_shuffle_above_the_unpivot(spark, source, cfg_for, monkeypatch):
     plans = []
     real = ingest.write_curated

@@ -164,8 +164,15 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     same = Window.partitionBy("id").orderBy(F.xxhash64(whole_text()))
     met = named.withColumn("copy", F.row_number().over(same)).join(takes.hint("merge"), ["id", "copy"])
     words = F.regexp_extract_all(whole_text(), F.lit(r"[\x20\x09-\x0D]*" + WORD_CLASS), F.lit(0))
-    chosen = F.flatten(F.transform("takes", lambda t: F.slice("all_words", (t["first"] + 1).cast("int"), t["words"].cast("int"))))
-    mixed = met.withColumn("all_words", words).withColumn("taken", F.array_join(chosen, ""))
+    # Bound to a name of its own: an expression inside the inner function would be
+    # worked out anew for every stretch.
+    joined = F.transform(
+        F.array(words),
+        lambda every: F.array_join(
+            F.flatten(F.transform("takes", lambda t: F.slice(every, (t["first"] + 1).cast("int"), t["words"].cast("int")))), ""
+        ),
+    )
+    mixed = met.withColumn("taken", F.element_at(joined, 1))
     changed = {"text": F.col("taken")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.char_length("taken").cast(docs.schema["n_chars"].dataType)

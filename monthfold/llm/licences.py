@@ -84,8 +84,9 @@ RULES = (
     ("all-rights-reserved", ("reserved",)),
 )
 
-#: A text with none of these parts has no known sentence; every sentence has one.
-HINTS = ("licens", "permission", "redistribut", "copyright", "warranty", "rights reserved", "mit ", "free software", "public domain", "applicable law")
+#: A text with none of these parts has no known sentence; every sentence has one. Each
+#: is within a word, so that it stands in the text whatever separates the words.
+HINTS = ("licens", "permission", "redistribut", "copyright", "warranty", "reserved", "software", "domain")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MARK = "\x01"
 SENTENCE_END = r"([.;:!?])[\x20\x09-\x0D]+"

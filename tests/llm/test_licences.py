@@ -38,3 +38,15 @@ def test_odd_rows(odd_docs):
     assert len(rows) == odd_docs.count()
     assert all(r.licences == [] and r.line_ids == [] and r.sentence_ids == [] for r in rows)
     assert licences.scan(odd_docs.limit(0)).collect() == []
+
+
+def test_sentences_are_found_whatever_separates_words(spark):
+    texts = [(name, text.replace(" ", gap)) for name, text in licences.SENTENCES.items() if name != "mpl-notice" for gap in ("\n", "\t", "  ", "\n  ")]
+    rows = licences.scan(spark.createDataFrame(texts, "doc_id string, text string")).collect()
+    assert [r.doc_id for r in rows if r.doc_id not in r.sentence_ids] == []
+    assert found(spark, "All rights\nreserved.") == ["all-rights-reserved"]
+
+
+def test_hints_are_within_words():
+    for text in licences.SENTENCES.values():
+        assert any(h in word for h in licences.HINTS for word in licences.normal_form(text).split()), text

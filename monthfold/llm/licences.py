@@ -43,7 +43,9 @@ SENTENCES = {
     "gpl-grant": "This program is free software:",
     "gpl-3-redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
-    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    # As the splitter cuts it, after "v."
+    "mpl-1": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
+    "mpl-2": "2.0.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
     "cc0-notice": "Licensed under CC0 1.0.",
     "cc-by-notice": "Licensed under CC BY 4.0.",
@@ -74,7 +76,7 @@ RULES = (
     ("GPL-3.0-or-later", ("gpl-grant", "gpl-3-redistribute")),
     ("GPL-3.0", ("gpl-3-notice",)),
     ("GPL-2.0", ("gpl-2-notice",)),
-    ("MPL-2.0", ("mpl-notice",)),
+    ("MPL-2.0", ("mpl-1", "mpl-2")),
     ("Unlicense", ("unlicense",)),
     ("CC0-1.0", ("cc0-notice",)),
     ("CC-BY-4.0", ("cc-by-notice",)),
@@ -86,7 +88,7 @@ RULES = (
 
 #: A text with none of these parts has no known sentence; every sentence has one. Each
 #: is within a word, so that it stands in the text whatever separates the words.
-HINTS = ("licens", "permission", "redistribut", "copyright", "warranty", "reserved", "software", "domain")
+HINTS = ("licens", "permission", "redistribut", "copyright", "warranty", "reserved", "software", "domain", "2")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MARK = "\x01"
 SENTENCE_END = r"([.;:!?])[\x20\x09-\x0D]+"

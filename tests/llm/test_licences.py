@@ -41,7 +41,7 @@ def test_odd_rows(odd_docs):
 
 
 def test_sentences_are_found_whatever_separates_words(spark):
-    texts = [(name, text.replace(" ", gap)) for name, text in licences.SENTENCES.items() if name != "mpl-notice" for gap in ("\n", "\t", "  ", "\n  ")]
+    texts = [(name, text.replace(" ", gap)) for name, text in licences.SENTENCES.items() for gap in ("\n", "\t", "  ", "\n  ")]
     rows = licences.scan(spark.createDataFrame(texts, "doc_id string, text string")).collect()
     assert [r.doc_id for r in rows if r.doc_id not in r.sentence_ids] == []
     assert found(spark, "All rights\nreserved.") == ["all-rights-reserved"]
@@ -50,3 +50,12 @@ def test_sentences_are_found_whatever_separates_words(spark):
 def test_hints_are_within_words():
     for text in licences.SENTENCES.values():
         assert any(h in word for h in licences.HINTS for word in licences.normal_form(text).split()), text
+
+
+def test_every_rule_is_met_by_its_own_sentences(spark):
+    docs = [(i, " ".join(licences.SENTENCES[x] for x in wanted)) for i, (_, wanted) in enumerate(licences.RULES)]
+    rows = licences.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.licences for r in rows} == {i: [name] for i, (name, _) in enumerate(licences.RULES)}
+    header = "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this"
+    assert found(spark, header) == ["MPL-2.0"]
+    assert found(spark, header.replace("2.0", "9.9")) == []

@@ -98,8 +98,10 @@ def plan_slots(goals: DataFrame, block_words: int = BLOCK_WORDS, shards: int = S
 
 
 def stream_layout(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents with size, source_id and start in their source's stream; and targets by source."""
-    sized = written(own(docs, "doc_id", "source", "text").select("doc_id", "source", word_count().alias("size")), "sizes")
+    """Documents with size, row (a number of their own), source_id and start in their source's stream; and targets by source."""
+    rows = own(docs, "doc_id", "source", "text")
+    # Rows without words do not move the start of those that follow: only a number tells equal ones apart.
+    sized = written(rows.select("doc_id", "source", word_count().alias("size"), F.monotonically_increasing_id().alias("row")), "sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
     goals = written(targets(sizes).withColumn("source_id", F.row_number().over(order).cast("long")), "targets")
@@ -111,7 +113,7 @@ def stream_layout(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def stretches(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS) -> DataFrame:
     """One row per taken stretch of a document: doc_id, source, size, source_size,
     target, shard, slot, turn, first (word in the document, from 0), words; and the
-    document's start in its source's stream.
+    document's start in its source's stream and its row's number.
 
     Documents that give nothing have one row with null shard, slot, turn and first,
     and words 0. Null texts have size 0; a null source is a source, the last. Rows
@@ -135,6 +137,7 @@ def stretches(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHA
         F.when(taken, begin - F.col("start")).alias("first"),
         F.when(taken, end - begin).otherwise(F.lit(0)).cast("long").alias("words"),
         "start",
+        "row",
     )
 
 
@@ -142,7 +145,7 @@ def taken_words(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
     parts = stretches(docs, block_words)
     return (
-        parts.groupBy("doc_id", "source", "start", "size", "source_size", "target")
+        parts.groupBy("row", "doc_id", "source", "start", "size", "source_size", "target")
         .agg(F.sum("words").cast("long").alias("taken"))
         .select("doc_id", "size", "source_size", "target", "taken")
     )

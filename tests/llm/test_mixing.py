@@ -94,3 +94,9 @@ def test_mixed_documents_hold_the_words_taken(odd_docs):
         found[r.doc_id] += size(r.text)
         assert r.n_chars == len(r.text)
     assert +taken == +found
+
+
+def test_equal_rows_without_words_all_stay(spark):
+    rows = [(1, "", "a"), (1, "", "a"), (None, None, "a"), (None, " ", "a"), (None, None, "a"), (2, "x y", "a"), (2, "x y", "a"), (3, "", None), (3, "", None)]
+    got = mixing.taken_words(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert Counter((r.doc_id, r["size"]) for r in got) == Counter((i, size(text)) for i, text, _ in rows)

@@ -1,11 +1,13 @@
-"""Similarity join on word shingles by a MinHash LSH forest and exact verification.
+"""Similarity join on word shingles by MinHash banding at a fixed prefix and exact verification.
 
 Texts with the same words are one node. Every node gets ``TREES`` labels of
-``DEPTH`` minimum hashes each; a tree is the trie of its sorted labels, and nodes
-with a common prefix are candidates. Prefixes are shortened from the full label
-until a link at the threshold is met with the target probability in some tree
-(``prefix_for``). Nodes under one prefix are tied to the least of them, never to
-each other, so a prefix that very many nodes share gives one tie for each.
+``DEPTH`` minimum hashes each, and nodes with a common prefix in some tree are
+candidates. The prefix has one length for all nodes: the longest at which a link at
+the threshold is met with the target probability (``prefix_for``; hashes behind it
+are not read). This is banding, not an LSH forest: labels are not sorted into tries,
+and prefixes are not shortened by what was matched. Nodes under one prefix are tied
+to the least of them, never to each other, so a prefix that very many nodes share
+gives one tie for each.
 
 Nodes connected by ties form a family; all pairs of a family are compared exactly,
 within tasks: a family is cut into parts of ``PART`` nodes, and each pair of parts

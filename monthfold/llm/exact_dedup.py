@@ -1,8 +1,9 @@
-"""Exact duplicates by a tree merge of sorted digest runs.
+"""Exact duplicates by a tree of hash aggregates over digests.
 
-Every row is one digest; rows are dealt to runs. A run is sorted by digest and
-keeps, per digest, the row that stays. Runs are then merged in rounds, several
-neighbours at a time (64 runs, then 8, then 1), and every merge keeps the better of the
+Every row is one digest; rows are dealt to runs by the hash of their id. A run
+keeps, per digest, the row that stays. Runs are then put together in rounds, several
+neighbours at a time (64 runs, then 8, then 1), by grouping on run and digest; runs
+are not sorted, and no sorted merge takes place. Every round keeps the better of the
 rows it meets and adds up their counts. A hot digest is thereby one row per task
 of the first round and at most 8 rows per merge later.
 

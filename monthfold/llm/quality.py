@@ -42,11 +42,12 @@ def held_out(folds: int = FOLDS, fold: int = HELD_OUT):
 
 def chunks(texts: list) -> tuple:
     """Chunks of byte arrays with the text each is of. A chunk starts where the last
-    one's next filter position would be, so no position is lost; short ones are padded."""
+    one's next filter position would be, wherever that one ended before the text, so
+    no position and no byte is lost; short ones are padded."""
     step = (CHUNK - WIDTH) // STRIDE * STRIDE + STRIDE
     parts, owner = [], []
     for i, body in enumerate(texts):
-        for at in range(0, max(len(body) - WIDTH, 0) + 1, step):
+        for at in range(0, max(len(body) - (step + WIDTH - STRIDE), 0) + step, step):
             part = body[at : at + step + WIDTH - STRIDE]
             count = max(-(-(len(part) - WIDTH) // STRIDE), 0) + 1
             padded = np.zeros((count - 1) * STRIDE + WIDTH, np.uint8)

@@ -70,3 +70,12 @@ def test_odd_rows_and_labels(spark, odd_docs):
     assert quality.score_documents(odd_docs.limit(0), labels).collect() == []
     none = quality.score_documents(odd_docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
+
+
+def test_chunks_reach_the_end_of_every_text():
+    for n in (*range(20), *range(8170, 8200), *range(16345, 16380), *range(24_520, 24_560)):
+        parts, _ = quality.chunks([np.ones(n, np.uint8)])
+        positions = sum((len(p) - quality.WIDTH) // quality.STRIDE + 1 for p in parts)
+        assert positions == max(-(-(n - quality.WIDTH) // quality.STRIDE), 0) + 1, n
+        # Chunks share what a filter position reaches beyond the step.
+        assert sum(int(p.sum()) for p in parts) == n + (len(parts) - 1) * (quality.WIDTH - quality.STRIDE), n

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthfold.llm.common import own, whole_text
-from monthfold.llm.units import row_groups, slices, spread, text_bytes
+from monthfold.llm.units import by_bytes, row_groups, slices, spread, text_bytes
 
 LENGTH = 100
 GRAM = 20
@@ -349,11 +349,27 @@ def repeats(parts: DataFrame, length: int) -> DataFrame:
 
 
 def leading_splitters(docs: DataFrame, length: int, gram: int):
-    """Bounds of the ranges: even steps through the sorted leading bytes of a sample's anchors."""
-    sample = docs.limit(SAMPLE).toArrow()
-    data, bounds = text_bytes(sample.column("text"))
-    found, _ = anchors(data, bounds, length, gram)
-    leading = np.sort(words_at(data)[found].byteswap()) if len(found) else np.zeros(0, np.uint64)
+    """Bounds of the ranges: even steps through the sorted leading bytes of a sample's anchors.
+
+    The sample is of the rows whose hash is least, wherever they stand. Of every
+    ``AT_ONCE`` bytes of it at most ``RANGES`` numbers reach the driver, and no text.
+    """
+    hashed = docs.select("text", F.xxhash64("doc", "text").alias("hash"))
+    bound = hashed.select("hash").orderBy("hash").limit(SAMPLE).agg(F.max("hash")).head()[0]
+    if bound is None:
+        return np.zeros(0, np.uint64)
+
+    def run(batches):
+        for batch in by_bytes(batches, AT_ONCE):
+            data, bounds = text_bytes(batch.column("text"))
+            found, _ = anchors(data, bounds, length, gram)
+            if len(found) > RANGES:
+                found = found[np.linspace(0, len(found) - 1, RANGES).astype(np.int64)]
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(words_at(data)[found].byteswap().view(np.int64))], ["leading"])
+
+    sample = hashed.where(F.col("hash") <= bound).select("text").mapInArrow(run, "leading long").toArrow()
+    leading = np.sort(sample.column("leading").to_numpy().view(np.uint64))
     if len(leading) == 0:
         return leading
     return leading[np.linspace(0, len(leading) - 1, RANGES + 1)[1:-1].astype(np.int64)]

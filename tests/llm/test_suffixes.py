@@ -74,3 +74,12 @@ def test_odd_rows(spark, odd_docs):
     twins = spark.createDataFrame([(1, "x" * 300), (1, "x" * 300), (1, "y" + "x" * 120), (2, "x" * 150)], "doc_id long, text string").withColumn("kept", F.lit(1))
     got = rows_of(suffixes.remaining(twins, 100, 20))
     assert got == brute([(r.doc_id, r.text) for r in twins.collect()], 100)
+
+
+def test_splitters_are_of_the_whole_table(spark):
+    """Rows that come first are alike; the ranges must fit those after them too."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(letters, k=400)) for letters in ("abcd", "wxyz") for _ in range(2 * suffixes.SAMPLE)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc long, text string").coalesce(1)
+    leading = suffixes.leading_splitters(docs, suffixes.LENGTH, suffixes.GRAM) >> np.uint64(56)
+    assert 0.3 < (leading >= ord("w")).mean() < 0.7

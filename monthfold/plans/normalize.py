@@ -22,7 +22,7 @@ from monthfold.operators.validate import (
     split,
 )
 from monthfold.schema import IDENTIFIER_COLUMNS, PROVENANCE, SALES_COLUMN_PATTERN, classify
-from monthfold.sources.wide import typed_wide
+from monthfold.sources.wide import BEYOND, typed_wide
 
 # Columns that the dedup key or the run fixes.
 DETERMINED = ("month_number", "quarter", "load_timestamp", "run_id")
@@ -34,8 +34,12 @@ def identifiers_and_measures(
     pattern: str = SALES_COLUMN_PATTERN,
     identifiers: Sequence[str] = IDENTIFIER_COLUMNS,
 ) -> tuple[list[str], dict[str, str]]:
-    """(identifiers, measures with their month labels) under a profile's classification."""
-    ids, measures = classify(columns, pattern, identifiers if profile.allow_list else None)
+    """(identifiers, measures with their month labels) under a profile's classification.
+
+    What a scan found beyond the header is neither: :func:`typed_wide` turns it into a reject.
+    """
+    declared = [name for name in columns if name != BEYOND]
+    ids, measures = classify(declared, pattern, identifiers if profile.allow_list else None)
     return ids, {name: month_label(name, pattern) for name in measures}
 
 

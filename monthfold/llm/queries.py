@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfold.llm import brown, exact_dedup, jaccard, licences, mixing, packing, quality, sharding, suffixes, topk
+from monthfold.llm import (
+    brown,
+    exact_dedup,
+    jaccard,
+    licences,
+    mixing,
+    packing,
+    periodic,
+    quality,
+    sharding,
+    suffixes,
+    topk,
+)
+from monthfold.llm.common import WORD_CLASS, whole_text
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +131,46 @@ def op10_suffixes(spark, sf_dir):
     """What is left of every document without passages that stand earlier."""
     left = suffixes.remaining(table(spark, sf_dir, "documents"))
     return left.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+def folded(docs: DataFrame) -> DataFrame:
+    """The documents, those with a CRC-32 of the decimal doc_id that ends in 0 with words that repeat.
+
+    With g that number's tenth and n words: from word a = g % n on, the next
+    1 + (n - a) // (3 + g % 8) words repeat to the end. Rows without doc_id stay as
+    they are.
+    """
+    words = F.regexp_extract_all(whole_text(), F.lit(f"({WORD_CLASS})"))
+    number = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select("doc_id", "text", F.when(number % 10 == 0, F.struct(words.alias("words"), F.floor(number / 10).alias("g"))).alias("fold"))
+    n, g = F.size("fold.words"), F.col("fold.g")
+    sized = chosen.withColumn("a", F.when(n > 0, g % n).cast("int"))
+    period = F.floor((n - F.col("a")) / (3 + g % 8)).cast("int") + 1
+    placed = sized.withColumn("p", period)
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    joined = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(F.col("fold.words"), place(i))), " ")
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), joined).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic(spark, sf_dir):
+    """Every document's periodic runs of words, the most repetitive one, and the text without repeats."""
+    found = periodic.word_runs(folded(table(spark, sf_dir, "documents")))
+    # Runs come by start and period, so of equal exponents the first stays.
+    best = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))),
+        F.get("runs", F.lit(0)),
+        lambda a, x: F.when(x["length"] * a["period"] > a["length"] * x["period"], x).otherwise(a),
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from monthfold.llm import (
     brown,
+    divergence,
     exact_dedup,
     jaccard,
     licences,
@@ -174,3 +175,45 @@ def op13_periodic(spark, sf_dir):
         F.sha2(listed, 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_divergence(spark, sf_dir):
+    """Every source against the others of its language, and its most typical terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+  FROM documents),
+w AS (
+  SELECT id, lang, source, translate(unnest(found), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+gn AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+gp AS (
+  SELECT gn.lang, gn.source, kept.term, coalesce(n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p
+  FROM gn JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+lp AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // (any_value(total) + 5 * any_value(v)) AS q
+  FROM c JOIN v USING (lang) JOIN (SELECT lang, sum(total) AS total FROM gn GROUP BY ALL) USING (lang) GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+         coalesce((SELECT sum(abs(x.p - y.p)) FROM gp x JOIN gp y USING (lang, term)
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+terms AS (
+  SELECT gp.lang, gp.source, gp.term AS item, p - q AS value FROM gp JOIN lp USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM pairs
+UNION ALL
+SELECT lang, source, 'term' AS part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM terms QUALIFY rank <= 50
+"""

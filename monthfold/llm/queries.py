@@ -14,6 +14,7 @@ from monthfold.llm import (
     mixing,
     packing,
     periodic,
+    private,
     quality,
     sharding,
     suffixes,
@@ -217,3 +218,17 @@ SELECT lang, source, 'term' AS part, item, CAST(value AS BIGINT) AS value,
        CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
 FROM terms QUALIFY rank <= 50
 """
+
+
+@query
+def op11_private(spark, sf_dir):
+    """Personal data of every document: base spans, and those that weak supervision adds."""
+    found = private.private_spans(table(spark, sf_dir, "documents"))
+
+
+    def count(number):
+        return F.size(F.filter("base", lambda x: x["kind"] == number)).cast("long").alias(f"n_{private.KINDS[number]}")
+
+    return found.select(
+        "doc_id", *[count(i) for i in range(len(private.KINDS))], F.sha2(private.shown(F.col("base")), 256).alias("base_sha256"), private.shown(F.col("spans")).alias("spans")
+    )

@@ -7,15 +7,17 @@ import logging
 import re
 import uuid
 from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
+from itertools import groupby
 from operator import add
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,12 +34,13 @@ from monthfold.plans.normalize import (
     identifiers_and_measures,
     valid_cells,
 )
-from monthfold.schema import CURATED, IDENTIFIER_COLUMNS
+from monthfold.schema import CURATED, IDENTIFIER_COLUMNS, RECORD_ID, add_record_id
 from monthfold.sinks.scratch import shared_folder
-from monthfold.sinks.writers import append, delete_files, write_curated, write_json, write_quarantine
-from monthfold.sources.discovery import list_files, logical_files, read_headers
+from monthfold.sinks.writers import append, delete_files, delete_folder, write_curated, write_json, write_quarantine
+from monthfold.sources.discovery import glob_literal, headers, headers_by_scan, list_files, logical_files
 from monthfold.sources.tables import read_or_empty
-from monthfold.sources.wide import Shape, group_by_header, read_wide, typed_wide, with_provenance
+from monthfold.sources.wide import Shape, read_wide, typed_wide, wide_schema, with_provenance
+from monthfold.state import manifest
 from monthfold.state import tables as state
 
 log = logging.getLogger(__name__)
@@ -45,16 +48,39 @@ log = logging.getLogger(__name__)
 # Names the long form adds; an input column may not take one.
 RESERVED = frozenset(
     "source_file load_timestamp month month_number quarter sales_amount sales_raw "
-    "unparsed is_valid reject_reasons shape run_id cell".split()
+    "unparsed is_valid reject_reasons shape run_id cell record_id".split()
 )
 
+LISTED = ("path", "source_file", "length", "modification_time")
+
+# Bytes of input that one wave of the staging scan reads.
+WAVE_BYTES = 1 << 40
+
+
+@contextmanager
+def session_options(spark: SparkSession, options: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the time of a run; settings that a session cannot change are errors."""
+    former = {name: spark.conf.get(name, None) for name in options}
+    try:
+        for name, value in options.items():
+            spark.conf.set(name, str(value))
+        yield
+    finally:
+        for name, value in former.items():
+            if value is not None:
+                spark.conf.set(name, value)
+            elif spark.conf.get(name, None) is not None:
+                spark.conf.unset(name)
+
 
 @dataclass(frozen=True)
 class Places:
     """Where a configuration keeps its tables."""
 
     curated: str
+    unique: str
     quarantine: str
+    manifest: str
     ledger: str
     registry: str
     drift: str
@@ -65,7 +91,9 @@ class Places:
     def of(cfg: IngestConfig) -> Places:
         return Places(
             curated=f"{cfg.curated}/sales_normalized",
+            unique=f"{cfg.curated}/sales_unique",
             quarantine=f"{cfg.staging}/invalid_records",
+            manifest=f"{cfg.checkpoints}/manifest",
             ledger=f"{cfg.checkpoints}/ledger",
             registry=f"{cfg.checkpoints}/schema_registry",
             drift=f"{cfg.checkpoints}/drift_events",
@@ -90,41 +118,46 @@ def read_run_metrics(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     return read_or_empty(spark, Places.of(cfg).run_metrics, state.RUN_METRICS)
 
 
-def read_curated(spark: SparkSession, cfg: IngestConfig, committed: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
-    """The curated table with its declared columns and any ``extra`` identifiers.
+def read_manifest(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
+    return read_or_empty(spark, Places.of(cfg).manifest, manifest.ENTRY)
 
-    By default only the rows of each file's latest successful run; with
-    ``committed=False`` everything that is stored. Under ``dedup_scope: global``
-    duplicates between files are left out here, among what is then committed: a
-    file that is rewritten or goes brings back the rows it outdid.
-    """
-    path = Places.of(cfg).curated
-    fields = [*CURATED.fields, T.StructField("run_id", T.StringType())]
-    stored = list(extra)
-    if committed and cfg.dedup_scope == "global":
-        stored = sorted({*extra, *_further_identifiers(spark, cfg)})
-    fields += [T.StructField(c, T.StringType()) for c in stored]
-    schema = T.StructType(fields)
-    if cfg.output_format == "parquet":
-        rows = read_or_empty(spark, path, schema)
-    else:
-        rows = spark.read.format(cfg.output_format).schema(schema).load(path)
-    if committed:
-        rows = state.committed(rows, read_ledger(spark, cfg))
-        if cfg.rules().dedup and cfg.dedup_scope == "global":
-            rows = dedup(rows, [*IDENTIFIER_COLUMNS, *stored, "month"], "global", determined=("month_number", "quarter"))
-    return rows.select(*CURATED.names, *extra)
 
+def snapshot(spark: SparkSession, cfg: IngestConfig, dataset: str = manifest.ROWS) -> manifest.Snapshot:
+    """What is committed of the curated rows, or of the rows without duplicates between files."""
+    return manifest.snapshot(read_manifest(spark, cfg), read_ledger(spark, cfg), dataset)
 
-def _further_identifiers(spark: SparkSession, cfg: IngestConfig) -> set[str]:
-    """Identifiers beyond the declared ones that any stored file has."""
-    try:
-        stored = spark.read.format(cfg.output_format).option("mergeSchema", True).load(Places.of(cfg).curated)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()
-    return set(stored.columns) - {*CURATED.names, "run_id"}
+
+def _stored_schema(extra: Iterable[str]) -> T.StructType:
+    """Curated columns, the run, the surrogate key, and further identifiers, which are text."""
+    fields = [*CURATED.fields, T.StructField("run_id", T.StringType()), T.StructField(RECORD_ID, T.LongType())]
+    return T.StructType(fields + [T.StructField(c, T.StringType()) for c in extra])
+
+
+def read_curated(
+    spark: SparkSession,
+    cfg: IngestConfig,
+    committed: bool = True,
+    extra: tuple[str, ...] = (),
+    record_ids: bool = False,
+) -> DataFrame:
+    """The curated table with its declared columns and any ``extra`` identifiers.
+
+    By default only the rows of each file's latest successful run: the manifest names
+    the folders that count, so the plan is a scan of them, without a join. With ``committed=False``
+    everything that is stored. Under ``dedup_scope: global`` rows come from the table without
+    duplicates between files, which each run brings up to date. ``record_ids`` adds the
+    surrogate key that rows got when they were written.
+    """
+    places, schema = Places.of(cfg), _stored_schema(extra)
+    shown = [*([RECORD_ID] if record_ids else []), *CURATED.names, *extra]
+    if not committed:
+        if cfg.output_format == "parquet":
+            return read_or_empty(spark, places.curated, schema).select(*shown)
+        return spark.read.format(cfg.output_format).schema(schema).load(places.curated).select(*shown)
+    unique = cfg.rules().dedup and cfg.dedup_scope == "global"
+    state_of = snapshot(spark, cfg, manifest.UNIQUE if unique else manifest.ROWS)
+    rows = manifest.read(spark, places.unique if unique else places.curated, state_of.folders, schema, cfg.output_format)
+    return rows.where(state_of.visible()).select(*shown)
 
 
 def read_quarantine(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
@@ -140,34 +173,35 @@ def read_quarantine(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     return state.committed(rows, read_ledger(spark, cfg)).select(*[f.name for f in long + extra])
 
 
-def _judge(
-    headers: Mapping[str, tuple[str, ...] | Exception], file_of: Mapping[str, str], cfg: IngestConfig, rules: Profile
-) -> tuple[dict[str, str], dict[str, tuple[str, ...]]]:
-    """(status per file, headers of the parts of sound files) from the headers alone."""
-    status: dict[str, str] = {}
-    measured = {
-        path: _columns(header, cfg, rules)[1] for path, header in headers.items() if not isinstance(header, Exception)
-    }
-    measure_names = {name.lower() for names in measured.values() for name in names}
-    labels = {label.lower() for names in measured.values() for label in names.values()} | {m.lower() for m in MONTHS}
-    for path, header in headers.items():
-        problem = (
-            f"error: {header}"
-            if isinstance(header, Exception)
-            else _header_problem(header, set(measured[path]), measure_names, labels)
-        )
-        if problem:
-            status[file_of[path]] = problem
-    sound = {path: header for path, header in headers.items() if file_of[path] not in status}
-    with_rows = {file_of[path] for path in sound if measured[path]}
-    for path in sound:
-        if file_of[path] in with_rows and not measured[path]:
-            # Its rows would be left out: the file as a whole is not what it should be.
-            status[file_of[path]] = "error: a part has no measure columns"
-    sound = {path: header for path, header in sound.items() if file_of[path] not in status}
-    for path in sound:
-        status[file_of[path]] = state.SUCCESS if file_of[path] in with_rows else state.SKIPPED
-    return status, sound
+def _judge(found: DataFrame, cfg: IngestConfig, rules: Profile) -> tuple[DataFrame, list[tuple[str, ...]]]:
+    """(parts with the ``shape`` of their header and the ``status`` of their file, distinct headers).
+
+    ``found``: path, source_file, length, modification_time, columns, error. Only
+    distinct headers reach the driver; what they mean for each file is worked out as a table.
+    """
+    spark = found.sparkSession
+    distinct = sorted(tuple(r.columns) for r in found.where("error is null").select("columns").distinct().collect())
+    measured = [_columns(header, cfg, rules)[1] for header in distinct]
+    measure_names = {name.lower() for names in measured for name in names}
+    labels = {label.lower() for names in measured for label in names.values()} | {m.lower() for m in MONTHS}
+    judged = [
+        (number, list(header), _header_problem(header, set(names), measure_names, labels), bool(names))
+        for number, (header, names) in enumerate(zip(distinct, measured, strict=True))
+    ]
+    verdicts = spark.createDataFrame(judged, "shape int, columns array<string>, problem string, measured boolean")
+    parts = found.join(verdicts, "columns", "left")
+    problem = F.coalesce(F.concat(F.lit("error: "), "error"), "problem")
+    files = parts.groupBy("source_file").agg(
+        F.min(problem).alias("problem"), F.max("measured").alias("some"), F.min("measured").alias("every")
+    )
+    # Rows of a part without measures would be left out: the file as a whole is not what it should be.
+    status = (
+        F.when(F.col("problem").isNotNull(), F.col("problem"))
+        .when(~F.col("some"), F.lit(state.SKIPPED))
+        .when(~F.col("every"), F.lit("error: a part has no measure columns"))
+        .otherwise(F.lit(state.SUCCESS))
+    )
+    return parts.drop("problem", "measured", "error").join(files.select("source_file", status.alias("status")), "source_file"), distinct
 
 
 def _header_problem(
@@ -199,10 +233,9 @@ def _columns(header: tuple[str, ...], cfg: IngestConfig, rules: Profile) -> tupl
     return identifiers_and_measures(header, rules, cfg.sales_column_pattern, cfg.identifier_columns)
 
 
-def _staged_shape(spark: SparkSession, shape: Shape, cfg: IngestConfig, rules: Profile, run_ts: datetime) -> DataFrame:
-    ids, measures = _columns(shape.columns, cfg, rules)
-    wide = with_provenance(read_wide(spark, shape, cfg.source), run_ts)
-    return typed_wide(wide, ids, measures).select(
+def _staged_shape(wide: DataFrame, columns: tuple[str, ...], cfg: IngestConfig, rules: Profile, run_ts: datetime) -> DataFrame:
+    ids, measures = _columns(columns, cfg, rules)
+    return typed_wide(with_provenance(wide, run_ts), ids, measures).select(
         *[f"`{c}`" for c in (*ids, *measures)], "source_file", "load_timestamp", "unparsed"
     )
 
@@ -231,44 +264,83 @@ class Staged:
         return ["source_file", "load_timestamp", "run_id"]
 
 
+def _waves(parts: Iterable[Row], most: int) -> list[list[Row]]:
+    """The parts in waves of about ``most`` bytes; parts of one file stay together."""
+    out: list[list[Row]] = []
+    room = 0
+    for _, group in groupby(sorted(parts, key=lambda p: (p.source_file, p.path)), key=lambda p: p.source_file):
+        members = list(group)
+        size = sum(p.length for p in members)
+        if not out or size > room:
+            out.append([])
+            room = most
+        out[-1] += members
+        room -= size
+    return out
+
+
 def _stage(
     spark: SparkSession,
     cfg: IngestConfig,
     rules: Profile,
     run_id: str,
     run_ts: datetime,
-    readable: dict[str, tuple[str, ...]],
-    file_of: Mapping[str, str],
-    status: dict[str, str],
+    parts: list[Row],
+    distinct: list[tuple[str, ...]],
     folder: str,
-) -> Staged | None:
-    """Write the typed wide rows of all files once and return them as a table.
-
-    The only pass over the CSV text: one scan per distinct header, no shuffle. Later
-    steps read this table, which has one row per input row, so that losing an
-    executor costs a re-read of Parquet and never a second parse. A file that turns
-    out unreadable is recorded as an error, and the rest is written without it.
+    wave_bytes: int,
+) -> tuple[Staged | None, set[str]]:
+    """Write the typed wide rows of all files once; returns them as a table, and the files that failed.
+
+    The only pass over the CSV text: one scan per distinct header and wave, no shuffle.
+    Later steps read this table, which has one row per input row, so that losing an
+    executor costs a re-read of Parquet and never a second parse. Each wave commits
+    by itself. A wave with a file that turns out unreadable is written again without that file, in two
+    halves, so that another such file costs half of it; waves that are written stay as they are.
     """
-    while readable:
-        shapes = group_by_header(readable)
-        frames = [
-            _staged_shape(spark, shape, cfg, rules, run_ts).withColumn("shape", F.lit(number))
-            for number, shape in enumerate(shapes)
-        ]
-        rows = union_shapes(frames).withColumn("run_id", F.lit(run_id))
+    if not parts:
+        return None, set()
+    # Headers of files in error do not count.
+    used = sorted({part.shape for part in parts})
+    shapes = [Shape(distinct[number], ()) for number in used]
+    none = [
+        _staged_shape(spark.createDataFrame([], wide_schema(s.columns)), s.columns, cfg, rules, run_ts).withColumn("shape", F.lit(0))
+        for s in shapes
+    ]
+    empty = union_shapes(none).withColumn("run_id", F.lit(run_id))
+    failed: set[str] = set()
+    done: list[str] = []
+    delete_folder(spark, folder)
+    pending = _waves(parts, wave_bytes)[::-1]
+    while pending:
+        wave = pending.pop()
+        paths: dict[int, list[str]] = {}
+        for part in wave:
+            paths.setdefault(used.index(part.shape), []).append(part.path)
+        frames = []
+        for number, names in sorted(paths.items()):
+            shape = Shape(shapes[number].columns, tuple(sorted(names)))
+            wide = _staged_shape(read_wide(spark, shape, cfg.source), shape.columns, cfg, rules, run_ts)
+            frames.append(wide.withColumn("shape", F.lit(number)))
+        rows = union_shapes([empty, *[frame.withColumn("run_id", F.lit(run_id)) for frame in frames]])
+        target = f"{folder}/wave-{len(done) + len(failed):06d}"
         try:
-            rows.write.mode("overwrite").parquet(folder)
+            rows.write.mode("overwrite").parquet(target)
         except Exception as error:
-            bad = _unreadable_file(error, {file_of[path] for path in readable})
+            bad = _unreadable_file(error, {part.source_file for part in wave})
             if bad is None:
                 raise
             log.warning("leaving out %s, which failed to read: %s", bad, error)
-            status[bad] = "error: failed to read"
-            readable = {path: header for path, header in readable.items() if file_of[path] != bad}
+            failed.add(bad)
+            left = [part for part in wave if part.source_file != bad]
+            if left:
+                pending += _waves(left, max(1, sum(part.length for part in left) // 2))[::-1]
             continue
-        constants = {"load_timestamp": F.lit(run_ts).cast("timestamp"), "run_id": F.lit(run_id)}
-        return _described(spark.read.schema(rows.schema).parquet(folder), shapes, cfg, rules, constants)
-    return None
+        done.append(target)
+    if not done:
+        return None, failed
+    constants = {"load_timestamp": F.lit(run_ts).cast("timestamp"), "run_id": F.lit(run_id)}
+    return _described(spark.read.schema(empty.schema).parquet(*done), shapes, cfg, rules, constants), failed
 
 
 def _described(
@@ -304,9 +376,13 @@ def _flagged(staged: Staged, rules: Profile) -> DataFrame:
 
 
 def _write_long(
-    staged: Staged, cfg: IngestConfig, rules: Profile, accepted: dict[str, tuple[Column, Column]]
-) -> int:
-    """Write the curated rows; returns how many, counted by the write itself."""
+    staged: Staged, cfg: IngestConfig, rules: Profile, accepted: dict[str, tuple[Column, Column]], last_id: int = 0
+) -> tuple[int, int]:
+    """Write the curated rows; returns how many and the last surrogate key, counted by the write itself.
+
+    Keys follow ``last_id``, the largest that a committed run gave out: unique over
+    runs, rising within a task, not dense.
+    """
     extra = sorted(set(staged.ids) - set(IDENTIFIER_COLUMNS))
     constants = {c: staged.constants[c] for c in ("load_timestamp", "run_id")}
     if rules.dedup:
@@ -317,15 +393,11 @@ def _write_long(
     else:
         kept, dealt = split(_flagged(staged, rules))[0].drop("unparsed", "sales_raw"), False
     counted = Observation()
+    keyed = add_record_id(to_output(kept, ["run_id", *extra]), last_id + 1)
+    seen = keyed.observe(counted, F.count(F.lit(1)).alias("kept"), F.max(RECORD_ID).alias("last"))
     # Always added, never replaced: rows count once the ledger names their run.
-    write_curated(
-        to_output(kept.observe(counted, F.count(F.lit(1)).alias("kept")), ["run_id", *extra]),
-        Places.of(cfg).curated,
-        fmt=cfg.output_format,
-        parts=cfg.partition_by,
-        dealt=dealt,
-    )
-    return counted.get["kept"]
+    write_curated(seen, Places.of(cfg).curated, fmt=cfg.output_format, parts=[*cfg.partition_by, "run_id"], dealt=dealt)
+    return counted.get["kept"], counted.get["last"] or last_id
 
 
 def _file_counts(staged: Staged, rules: Profile, accepted: dict[str, tuple[Column, Column]]) -> DataFrame:
@@ -358,73 +430,92 @@ def run(
     incremental: bool = True,
     run_id: str | None = None,
     only: DataFrame | None = None,
+    wave_bytes: int = WAVE_BYTES,
 ) -> DataFrame:
     """Ingest the pending files (all files if not ``incremental``); returns the run's metrics row.
 
-    ``only`` restricts the run to the ``source_file`` names of a frame. The ledger is
-    written last: a run that stops earlier leaves rows that :func:`read_curated`
-    does not show, and its files stay pending. One run at a time per target.
+    ``only`` is a listing (path, source_file, length, modification_time) to take in place of the source folder's,
+    for callers that know what arrived. The manifest is written after the rows and the ledger last: a run that stops
+    earlier leaves rows that :func:`read_curated` does not show, and its files stay pending. One run at a time per
+    target. ``spark_options`` of the configuration hold for the run.
     """
     if incremental and not cfg.enable_incremental:
         raise ConfigError("an incremental run needs enable_incremental, or it would append files again")
+    with session_options(spark, cfg.spark_options):
+        return _run(spark, cfg, incremental, run_id, only, wave_bytes)
+
+
+def _run(
+    spark: SparkSession, cfg: IngestConfig, incremental: bool, run_id: str | None, only: DataFrame | None, wave_bytes: int
+) -> DataFrame:
     started = datetime.now(timezone.utc)
     run_id = run_id or f"{started:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     places, rules = Places.of(cfg), cfg.rules()
     now = F.lit(started).cast("timestamp")
+    target = hashlib.sha256(cfg.curated.encode()).hexdigest()[:16]
+    scratch = f"{shared_folder(spark, cfg.staging)}/monthfold-run/{target}"
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
 
-    listing = list_files(spark, cfg.source, cfg.file_pattern)
-    if only is not None:
-        listing = listing.join(only.select("source_file").distinct(), "source_file", "left_semi")
+    # Listed once: what a folder holds may change while the run lasts.
+    listing = kept(list_files(spark, cfg.source, cfg.file_pattern) if only is None else only.select(*LISTED), "listing")
     files = logical_files(listing)
     ledger = read_ledger(spark, cfg)
     wanted = state.pending(files, ledger) if incremental else files
-    discovered = files.count()
-    found = listing.join(wanted.select("source_file"), "source_file", "left_semi").select("path", "source_file")
-    file_of = {row.path: row.source_file for row in found.collect()}
-
-    status, sound = _judge(read_headers(spark, file_of), file_of, cfg, rules)
-    readable = {path: header for path, header in sound.items() if _columns(header, cfg, rules)[1]}
-    target = hashlib.sha256(cfg.curated.encode()).hexdigest()[:16]
-    scratch = f"{shared_folder(spark, cfg.staging)}/monthfold-run/{target}"
-    staged = _stage(spark, cfg, rules, run_id, started, readable, file_of, status, f"{scratch}/wide")
+    heads = kept(headers(listing.join(wanted.select("source_file"), "source_file", "left_semi").select(*LISTED)), "headers")
+    lost = [row.path for row in heads.where("not reached").select("path").collect()]
+    if lost:
+        heads = _reached(spark, heads, lost)
+    judged, distinct = _judge(heads, cfg, rules)
+    parts = kept(judged, "parts")
+    readable = parts.where(F.col("status") == state.SUCCESS).select("path", "source_file", "length", "shape").collect()
+    staged, failed = _stage(spark, cfg, rules, run_id, started, readable, distinct, f"{scratch}/wide", wave_bytes)
 
     counts_schema = "source_file string, record_count long, long_records long, valid_records long, invalid_records long"
     counts = spark.createDataFrame([], counts_schema)
-    written = removed = 0
     if staged is not None:
         accepted = valid_cells(staged.rows, staged.ids, staged.measures, rules, staged.present)
-        _file_counts(staged, rules, accepted).write.mode("overwrite").parquet(f"{scratch}/file_counts")
-        counts = spark.read.schema(counts_schema).parquet(f"{scratch}/file_counts")
+        counts = kept(_file_counts(staged, rules, accepted), "file_counts")
     sums = counts.agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns if c != "source_file"]
     ).head()
+    before = snapshot(spark, cfg)
+    written, last_id = 0, before.last_id
     if staged is not None and sums.valid_records:
-        written = _write_long(staged, cfg, rules, accepted)
-        removed = sums.valid_records - written
+        written, last_id = _write_long(staged, cfg, rules, accepted, before.last_id)
+    removed = sums.valid_records - written
     if sums.invalid_records and rules.keep_rejects:
         rejected = split(_flagged(staged, rules))[1]
         write_quarantine(rejected.drop("is_valid"), places.quarantine)
 
-    seen = {(file_of[path], header) for path, header in sound.items()}
+    status = F.when(F.col("source_file").isin(*sorted(failed)), F.lit("error: failed to read")).otherwise(F.col("status")) if failed else F.col("status")
+    done = logical_files(parts).join(parts.select("source_file", status.alias("status")).distinct(), "source_file")
+    states = {row.status: row.files for row in done.groupBy("status").agg(F.count(F.lit(1)).alias("files")).collect()}
+    discovered = files.count()
     gone = None
     if not incremental and cfg.refresh == "full" and only is None:
         gone = state.replaced(ledger, files, run_id, now)
-    if status or gone is not None:
-        _record_state(spark, cfg, run_id, now, wanted, counts, status, seen, gone)
+    if states or gone is not None:
+        succeeded = done.where(F.col("status") == state.SUCCESS).select("source_file")
+        ended = succeeded if gone is None else succeeded.unionByName(gone.select("source_file"))
+        _record_manifest(spark, cfg, run_id, started, before, ended, written, last_id, compact=not incremental)
+        _record_state(spark, cfg, run_id, now, done, counts, parts, gone)
     if not incremental:
         remove_superseded(spark, cfg)
-    errors = [(name, text) for name, text in sorted(status.items()) if text.startswith("error")]
-    ended = datetime.now(timezone.utc)
+    errors = [tuple(r) for r in done.where(F.col("status").startswith("error")).select("source_file", "status").orderBy("source_file").collect()]
+    ended_at = datetime.now(timezone.utc)
     metrics = spark.createDataFrame(
         [
             (
                 run_id,
                 started,
-                ended,
-                (ended - started).total_seconds(),
+                ended_at,
+                (ended_at - started).total_seconds(),
                 discovered,
-                sum(text == state.SUCCESS for text in status.values()),
-                discovered - len(status),
+                states.get(state.SUCCESS, 0),
+                discovered - sum(states.values()),
                 sums.record_count,
                 sums.long_records,
                 sums.valid_records,
@@ -440,56 +531,152 @@ def run(
     return metrics
 
 
+def _reached(spark: SparkSession, heads: DataFrame, lost: list[str]) -> DataFrame:
+    """Headers of files that tasks could not open by themselves, read by Spark instead."""
+    found = headers_by_scan(spark, lost)
+    rows = [(p, None, str(h)) if isinstance(h, Exception) else (p, list(h), None) for p, h in found.items()]
+    again = spark.createDataFrame(rows, "path string, columns array<string>, error string")
+    return heads.where("reached").unionByName(
+        heads.where("not reached").drop("columns", "error").join(again, "path").select(*heads.columns)
+    )
+
+
+def _record_manifest(
+    spark: SparkSession,
+    cfg: IngestConfig,
+    run_id: str,
+    started: datetime,
+    before: manifest.Snapshot,
+    ended: DataFrame,
+    written: int,
+    last_id: int,
+    compact: bool,
+) -> None:
+    """Append what the run adds and what it ends. ``ended``: files whose former rows no longer count.
+
+    Few ended files are hidden by name. For many, or in a refresh, the folders that
+    hold their rows are written anew without them, or removed where nothing else is in them.
+    """
+    places = Places.of(cfg)
+    latest = state.latest(read_ledger(spark, cfg))
+    wrote = bool(written)
+    replaced = latest.join(ended, "source_file", "left_semi")
+    count = replaced.count()
+    added: list[manifest.Folder] = []
+    removed: list[manifest.Folder] = []
+    hidden: list[tuple[str, str]] = []
+    moved: list[str] = []
+    affected: set[str] = set()
+    if count and not compact and count + len(before.hidden) <= manifest.MOST_HIDDEN:
+        hidden = [(r.source_file, before.physical(r.run_id)) for r in replaced.collect()]
+        affected = {run for _, run in hidden}
+    elif count:
+        logical = [r.run_id for r in replaced.select("run_id").distinct().collect()]
+        affected = {before.physical(run) for run in logical} | {run for _, run in before.hidden}
+        removed = [f for f in before.folders if f.run_id in affected]
+        # Files that stay, by the run that holds them; none in a refresh that read all files.
+        staying = latest.join(ended, "source_file", "left_anti")
+        held = [r.run_id for r in staying.select("run_id").distinct().collect() if before.physical(r.run_id) in affected]
+        if held and removed:
+            stays = staying.where(F.col("run_id").isin(*held)).select("source_file")
+            old = manifest.read(spark, places.curated, removed, _all_columns(spark, cfg), cfg.output_format)
+            rows = old.where(before.visible()).join(stays, "source_file", "left_semi")
+            write_curated(
+                rows.withColumn("run_id", F.lit(run_id)), places.curated, fmt=cfg.output_format, parts=[*cfg.partition_by, "run_id"]
+            )
+            moved = sorted({before.physical(run) for run in held})
+            wrote = True
+    if wrote:
+        added = manifest.written_by(spark, places.curated, cfg.partition_by, run_id)
+    rows = [manifest.entries(spark, run_id, started, manifest.ROWS, added, removed, hidden, moved, last_id)]
+    if cfg.rules().dedup and cfg.dedup_scope == "global":
+        touched = {f.place for f in added} | {f.place for f in before.folders if f.run_id in affected}
+        gone = {f.path for f in removed}
+        now_live = [*[f for f in before.folders if f.path not in gone], *added]
+        view = manifest.Snapshot(tuple(now_live), (*before.hidden, *hidden), before.moved, last_id)
+        rows.append(_bring_up_unique(spark, cfg, run_id, started, view, touched))
+    append(union_shapes(rows), places.manifest)
+
+
+def _all_columns(spark: SparkSession, cfg: IngestConfig) -> T.StructType:
+    """The stored columns, with every further identifier that any stored file has."""
+    stored = manifest.stored_columns(spark, Places.of(cfg).curated, cfg.output_format)
+    return _stored_schema(sorted(stored - {*CURATED.names, "run_id", RECORD_ID}))
+
+
+def _bring_up_unique(
+    spark: SparkSession, cfg: IngestConfig, run_id: str, started: datetime, now: manifest.Snapshot, touched: set[str]
+) -> DataFrame:
+    """Write the rows without duplicates between files anew, in the partitions that the run touched.
+
+    Equal keys are in one partition, because partition columns are key columns;
+    where they are not, every partition counts as touched.
+    """
+    places = Places.of(cfg)
+    keyed = set(cfg.partition_by) <= {*IDENTIFIER_COLUMNS, *DETERMINED, "month"}
+    former = snapshot(spark, cfg, manifest.UNIQUE)
+    schema = _all_columns(spark, cfg)
+    rows = manifest.read(
+        spark, places.curated, [f for f in now.folders if not keyed or f.place in touched], schema, cfg.output_format
+    ).where(now.visible())
+    keys = [c for c in schema.names if c not in {*CURATED.names, "run_id", RECORD_ID}]
+    best = dedup(rows, [*IDENTIFIER_COLUMNS, *keys, "month"], "global", determined=("month_number", "quarter"))
+    write_curated(
+        best.withColumn("run_id", F.lit(run_id)), places.unique, fmt=cfg.output_format, parts=[*cfg.partition_by, "run_id"]
+    )
+    removed = [f for f in former.folders if not keyed or f.place in touched]
+    added = manifest.written_by(spark, places.unique, cfg.partition_by, run_id)
+    return manifest.entries(spark, run_id, started, manifest.UNIQUE, added, removed)
+
+
 def _record_state(
     spark: SparkSession,
     cfg: IngestConfig,
     run_id: str,
     now: Column,
-    wanted: DataFrame,
+    done: DataFrame,
     counts: DataFrame,
-    status: Mapping[str, str],
-    seen: set[tuple[str, tuple[str, ...]]],
+    parts: DataFrame,
     gone: DataFrame | None = None,
 ) -> None:
     """Append new schemas, their drift events, and last of all the ledger rows.
 
-    ``gone``: ledger rows of files that a full refresh no longer found.
+    ``done``: the run's files with their status; ``parts``: their headers; ``gone``: ledger rows of files that a
+    full refresh no longer found.
     """
     places = Places.of(cfg)
     if cfg.enable_schema_registry:
-        schemas = spark.createDataFrame([(f, list(h)) for f, h in sorted(seen)], "source_file string, columns array<string>")
+        sound = parts.where(F.col("status").isin(state.SUCCESS, state.SKIPPED)).select("source_file", "columns").distinct()
         allow = list(cfg.identifier_columns) if cfg.rules().allow_list else None
         new, drift = state.register(
-            schemas, read_registry(spark, cfg), cfg.sales_column_pattern, run_id, now, allow
+            sound, read_registry(spark, cfg), cfg.sales_column_pattern, run_id, now, allow
         )
         append(drift, places.drift)
         append(new, places.registry)
-    labels = spark.createDataFrame(sorted(status.items()), "source_file string, status string")
-    rows = state.ledger_rows(wanted.join(labels, "source_file"), counts, run_id, now)
+    rows = state.ledger_rows(done, counts, run_id, now)
     append(rows if gone is None else rows.unionByName(gone), places.ledger)
 
 
 def remove_superseded(spark: SparkSession, cfg: IngestConfig) -> int:
-    """Delete stored files that hold no committed row any more; returns how many.
+    """Delete stored folders that the manifest no longer names, and rejects of no committed run; returns how many.
 
-    Rows of runs that stopped, of former versions of a file, and of files that a full
-    refresh no longer found are invisible already; this frees their space. A data
-    file with a committed row stays whole, so stopping on the way loses nothing. Only
-    for file formats that Spark writes as they are.
+    Rows of runs that stopped, of former versions of files, and of files that a full
+    refresh no longer found are invisible already; this frees their space. A set difference of
+    names: no curated row is read, and stopping on the way loses nothing. Rejects are few, and
+    are looked at by file and run.
     """
-    places, ledger, removed = Places.of(cfg), read_ledger(spark, cfg), 0
-    stored = "source_file string, run_id string"
-    for path, fmt in ((places.curated, cfg.output_format), (places.quarantine, "parquet")):
-        if fmt != "parquet":
-            continue
-        try:
-            rows = spark.read.schema(stored).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        removed += delete_files(spark, state.dead_files(rows, ledger))
-    return removed
+    places, removed = Places.of(cfg), 0
+    for table, dataset in ((places.curated, manifest.ROWS), (places.unique, manifest.UNIQUE)):
+        live = {f.path for f in snapshot(spark, cfg, dataset).folders}
+        stored = manifest.stored_folders(spark, table, f"{glob_literal(table)}/{'*/' * len(cfg.partition_by)}run_id=*")
+        removed += sum(delete_folder(spark, path) for path, _, _ in stored if path not in live)
+    try:
+        rows = spark.read.schema("source_file string, run_id string").parquet(places.quarantine)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return removed
+    return removed + delete_files(spark, state.dead_files(rows, read_ledger(spark, cfg)))
 
 
 def write_summary(spark: SparkSession, cfg: IngestConfig) -> DataFrame:

@@ -59,6 +59,7 @@ CURATED = T.StructType(
         T.StructField("quarter", T.IntegerType()),
     ]
 )
+RECORD_ID = "record_id"
 CURATED_NOT_NULL = ("salesperson_id", "year", "month", "month_number")
 
 
@@ -82,7 +83,7 @@ def classify(
 def add_record_id(df: DataFrame, start: int | Column = 0) -> DataFrame:
     """Add a unique (not dense) ``record_id``, offset by ``start``."""
     offset = F.lit(start) if isinstance(start, int) else start
-    return df.withColumn("record_id", F.monotonically_increasing_id() + offset)
+    return df.withColumn(RECORD_ID, F.monotonically_increasing_id() + offset)
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str | None = None) -> None:

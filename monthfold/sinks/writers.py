@@ -54,6 +54,12 @@ def delete_files(spark: SparkSession, paths: DataFrame) -> int:
     return count
 
 
+def delete_folder(spark: SparkSession, name: str) -> bool:
+    """Delete a folder with what it holds; whether there was one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+
+
 def save_table(
     df: DataFrame,
     name: str,

@@ -35,6 +35,11 @@ def group_by_header(headers: Mapping[str, Sequence[str]]) -> list[Shape]:
     return [Shape(columns, tuple(sorted(paths[columns]))) for columns in sorted(paths)]
 
 
+def wide_schema(columns: Sequence[str]) -> T.StructType:
+    """What :func:`read_wide` gives for a header: text columns, ``BEYOND`` and ``source_file``."""
+    return T.StructType([T.StructField(name, T.StringType()) for name in (*columns, BEYOND, "source_file")])
+
+
 def read_wide(spark: SparkSession, shape: Shape, directory: str) -> DataFrame:
     """All files of a shape in one scan, as text columns, with ``source_file``.
 
@@ -42,7 +47,7 @@ def read_wide(spark: SparkSession, shape: Shape, directory: str) -> DataFrame:
     the values that a file happens to hold. A row shorter than its header is padded
     with NULL. Of a longer one, ``BEYOND`` holds the first cell that is too many.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*shape.columns, BEYOND)])
+    schema = T.StructType(wide_schema(shape.columns).fields[:-1])
     scan = spark.read.csv([glob_literal(p) for p in shape.paths], header=True, schema=schema)
     return scan.select("*", logical_name(scanned_path(), directory).alias("source_file"))
 

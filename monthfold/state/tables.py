@@ -99,10 +99,10 @@ def committed(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     version of a file, are left out. The ledger side has one row per file; Spark
     broadcasts it where its size allows and shuffles otherwise.
     """
-    return rows.join(_latest(ledger), ["source_file", "run_id"], "left_semi")
+    return rows.join(latest(ledger), ["source_file", "run_id"], "left_semi")
 
 
-def _latest(ledger: DataFrame) -> DataFrame:
+def latest(ledger: DataFrame) -> DataFrame:
     """(source_file, run_id) of each file's latest successful run, unless it was replaced since."""
     last = F.max_by(F.struct("run_id", "status"), F.struct("processed_at", "run_id"))
     ended = ledger.where(F.col("status").isin(SUCCESS, REPLACED)).groupBy("source_file").agg(last.alias("last"))
@@ -111,7 +111,7 @@ def _latest(ledger: DataFrame) -> DataFrame:
 
 def replaced(ledger: DataFrame, files: DataFrame, run_id: str, now: Column) -> DataFrame:
     """Ledger rows that end the files which are committed and not among ``files``."""
-    absent = _latest(ledger).select("source_file").join(files.select("source_file"), "source_file", "left_anti")
+    absent = latest(ledger).select("source_file").join(files.select("source_file"), "source_file", "left_anti")
     known = {"status": F.lit(REPLACED), "run_id": F.lit(run_id), "processed_at": now}
     return absent.select(
         *[known.get(f.name, F.col("source_file") if f.name == "source_file" else F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER]
@@ -122,7 +122,7 @@ def dead_files(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     """(path) of the data files of ``rows`` (source_file, run_id) that hold no committed row."""
     stored = rows.select("source_file", "run_id", F.col("_metadata.file_path").alias("path"))
     held = stored.groupBy("path", "source_file", "run_id").agg(F.lit(1).alias("held"))
-    live = held.join(_latest(ledger).withColumn("live", F.lit(True)), ["source_file", "run_id"], "left")
+    live = held.join(latest(ledger).withColumn("live", F.lit(True)), ["source_file", "run_id"], "left")
     return live.groupBy("path").agg(F.max(F.coalesce("live", F.lit(False))).alias("live")).where("not live").select("path")
 
 

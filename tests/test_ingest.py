@@ -311,3 +311,127 @@ def test_no_shuffle_above_the_unpivot(spark, source, cfg_for, monkeypatch):
     ingest.run(spark, cfg_for(source))
     (plan,) = plans
     assert plan.index("Expand") < plan.index("RebalancePartitions")
+
+
+def test_stream_takes_up_a_rewritten_file(spark, source, cfg_for, tmp_path):
+    cfg, checkpoint = cfg_for(source), str(tmp_path / "stream")
+    run_available_now(spark, cfg, checkpoint).awaitTermination()
+    put(source, "sales_q2.csv", f"{IDS},Apr_sales\n{BOB},80.25\n")
+    put(source, "_hidden.csv", "x\n")
+    run_available_now(spark, cfg, checkpoint, max_files_per_trigger=1).awaitTermination()
+    assert by_name(cells(spark, cfg)) == by_name([*Q1, ("sales_q2.csv", 2, "Apr", "80.25")])
+
+
+def test_stream_lists_what_a_spark_listing_gives(spark, tmp_path):
+    from monthfold.sources.discovery import list_files
+    from monthfold.streaming.arrivals import listed
+
+    for name in ("sales_a b.csv", "sales_dir.csv/part-0.csv", "sales_dir.csv/_SUCCESS", ".sales_h.csv", "other.csv", "sales_{x}.csv"):
+        put(tmp_path, name, "a\n1\n")
+    put(tmp_path, "sales_zero.csv", "")
+    for pattern in ("sales_*.csv", "sales_{a,d}*", "sales_[ad]*.csv", "sales_?i*"):
+        rows = list_files(spark, str(tmp_path), pattern).select("path", "source_file", "length", F.unix_millis("modification_time")).collect()
+        mine = [(p, n, size, round(t.timestamp() * 1000)) for p, n, size, t in listed(str(tmp_path), pattern)]
+        assert sorted(map(tuple, rows)) == mine
+    assert listed(str(tmp_path / "absent"), "*") == []
+
+
+def test_bad_files_of_one_wave_leave_the_others_alone(spark, tmp_path, cfg_for, monkeypatch):
+    """Three corrupt files: sound waves are read once, and sound files of a bad wave at most once per halving."""
+    folder = tmp_path / "in"
+    rng = random.Random(1)
+    for n in range(8):
+        put(folder, f"sales_{n}.csv", f"{IDS},Jan_sales\n{n},N,1,TX,5,S,2025,{n}\n" + "".join(f"{n},N{i},1,TX,5,S,2025,{n}\n" for i in range(3000)))
+    text = f"{IDS},Jan_sales\n" + "".join(f"{n},N{rng.random()},1,TX,5,S,2025,{n}\n" for n in range(20_000))
+    for n in (2, 3, 5):
+        with open(folder / f"sales_{n}_bad.csv.gz", "wb") as handle:
+            handle.write(gzip.compress(text.encode())[:90_000])
+    scans = []
+    real = ingest.read_wide
+    monkeypatch.setattr(ingest, "read_wide", lambda spark, shape, source: scans.append(shape.paths) or real(spark, shape, source))
+    row = ingest.run(spark, cfg_for(folder, file_pattern="sales_*"), wave_bytes=70_000).head()
+    assert (row.files_processed, sorted(e.file for e in row.errors)) == (8, [f"sales_{n}_bad.csv.gz" for n in (2, 3, 5)])
+    read = [os.path.basename(p) for paths in scans for p in paths]
+    assert {name: read.count(name) for name in set(read)} == {name: 1 for name in set(read)}
+    assert row.input_records == 8 * 3001
+
+
+def test_headers_are_one_job(spark, tmp_path):
+    from monthfold.sources.discovery import headers, list_files
+
+    for n in range(60):
+        put(tmp_path, f"sales_{n}.csv", f"a,b{n % 3}\n1,2\n")
+    files = spark.createDataFrame(list_files(spark, str(tmp_path)).collect(), "path string, source_file string, length long, modification_time timestamp")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    headers(files).write.format("noop").mode("overwrite").save()
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 2  # the dealing of paths and the reading
+
+
+def test_reads_have_no_join_and_prune_partitions(spark, source, cfg_for):
+    cfg = cfg_for(source)
+    ingest.run(spark, cfg)
+    put(source, "sales_q2.csv", f"{IDS},Apr_sales\n{ANN},70\n")
+    ingest.run(spark, cfg)
+    rows = ingest.read_curated(spark, cfg).where("year = 2025 and month = 'Apr'")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and "Exchange" not in plan
+    assert "PartitionFilters: [isnotnull(year" in plan and "month" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert [(r.source_file, str(r.sales_amount)) for r in rows.collect()] == [("sales_q2.csv", "70.00")]
+
+
+def test_many_replaced_files_are_written_anew(spark, source, cfg_for, monkeypatch):
+    """Beyond the bound of hidden pairs, folders are rewritten; later runs still find what was moved."""
+    from monthfold.state import manifest
+
+    monkeypatch.setattr(manifest, "MOST_HIDDEN", 0)
+    cfg = cfg_for(source)
+    ingest.run(spark, cfg)
+    for amount in ("70", "71"):
+        put(source, "sales_q2.csv", f"{IDS},Apr_sales\n{ANN},{amount}\n")
+        ingest.run(spark, cfg)
+        assert by_name(cells(spark, cfg)) == by_name([*Q1, ("sales_q2.csv", 1, "Apr", f"{amount}.00")])
+        assert ingest.snapshot(spark, cfg).hidden == ()
+    put(source, "sales_q1.csv", f"{IDS},Jan_sales\n{ANN},1\n")
+    ingest.run(spark, cfg)
+    assert cells(spark, cfg) == [("sales_q1.csv", 1, "Jan", "1.00"), ("sales_q2.csv", 1, "Apr", "71.00")]
+    assert ingest.remove_superseded(spark, cfg) > 0
+    assert cells(spark, cfg, committed=False) == cells(spark, cfg)
+
+
+def test_surrogate_keys_are_unique_over_runs(spark, source, cfg_for):
+    cfg = cfg_for(source)
+    ingest.run(spark, cfg)
+    first = {r.record_id for r in ingest.read_curated(spark, cfg, record_ids=True).collect()}
+    put(source, "sales_q3.csv", f"{IDS},Jul_sales\n{BOB},9\n")
+    ingest.run(spark, cfg)
+    ids = [r.record_id for r in ingest.read_curated(spark, cfg, record_ids=True).collect()]
+    assert len(ids) == len(set(ids)) == 6 and first < set(ids) and min(ids) >= 1
+    assert min(set(ids) - first) > max(first)
+
+
+def test_global_scope_reads_without_an_aggregate(spark, tmp_path, cfg_for):
+    folder = tmp_path / "in"
+    put(folder, "sales_a.csv", f"{IDS},Jan_sales,Feb_sales\n{ANN},9,1\n")
+    put(folder, "sales_b.csv", f"{IDS},Jan_sales,Mar_sales\n{ANN},5,2\n")
+    cfg = cfg_for(folder, dedup_scope="global")
+    ingest.run(spark, cfg)
+    put(folder, "sales_c.csv", f"{IDS},Mar_sales\n{ANN},7\n")
+    ingest.run(spark, cfg)
+    plan = ingest.read_curated(spark, cfg)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+    assert cells(spark, cfg) == [("sales_a.csv", 1, "Feb", "1.00"), ("sales_a.csv", 1, "Jan", "9.00"), ("sales_c.csv", 1, "Mar", "7.00")]
+
+
+def test_spark_options_hold_for_the_run(spark, source, cfg_for, monkeypatch):
+    seen = []
+    real = ingest.write_curated
+
+    def watched(df, *args, **kw):
+        seen.append(spark.conf.get("spark.sql.shuffle.partitions"))
+        real(df, *args, **kw)
+
+    monkeypatch.setattr(ingest, "write_curated", watched)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    ingest.run(spark, cfg_for(source, spark_options={"spark.sql.shuffle.partitions": "3"}))
+    assert seen == ["3"] and spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -667,8 +667,8 @@ def remove_superseded(spark: SparkSession, cfg: IngestConfig) -> int:
     """
     places, removed = Places.of(cfg), 0
     for table, dataset in ((places.curated, manifest.ROWS), (places.unique, manifest.UNIQUE)):
-        live = {f.path for f in snapshot(spark, cfg, dataset).folders}
         stored = manifest.stored_folders(spark, table, f"{glob_literal(table)}/{'*/' * len(cfg.partition_by)}run_id=*")
+        live = {f.path for f in snapshot(spark, cfg, dataset).folders} if stored else set()
         removed += sum(delete_folder(spark, path) for path, _, _ in stored if path not in live)
     try:
         rows = spark.read.schema("source_file string, run_id string").parquet(places.quarantine)

@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import csv
 import re
+import sys
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What tasks need of this module goes along with them: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LISTING = "path string, source_file string, length bigint, modification_time timestamp"
 
 # Files that one task opens at a time, bytes of a file that are read at once, and tasks per core.

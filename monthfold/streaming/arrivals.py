@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from datetime import datetime, timezone
 
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from monthfold.sources.discovery import LISTING, file_system
 
+# The reader goes along with its tasks: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Files that one task of a batch carries.
 FILES_PER_TASK = 10_000
 

@@ -15,6 +15,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,9 +28,11 @@ END = 0
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 PLAN = "plan_length long, first_rank long, last_rank long, first_sequence long, offset long"
 #: Bytes of text that a task tokenises at a time.
-AT_ONCE = 8_000_000
-#: Different units whose ids a task remembers.
+AT_ONCE = 4_000_000
+#: Different units whose ids a Python worker remembers.
 REMEMBERED = 1_000_000
+#: Units that are encoded as one text.
+JOINED = 256
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, most: int = MOST, end: int = END) -> DataFrame:
@@ -42,25 +45,17 @@ def tokenise(docs: DataFrame, tokenizer_path: str, most: int = MOST, end: int =
 
     A text is cut before each white space that follows another character: no
     token spans such a cut, so equal units have equal ids and are encoded once.
+    Encoding is the tokenizer's plain one, in which the text of a special token is that token.
     """
-    def run(batches: Iterator) -> Iterator:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
 
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
-        known = Known()
+    def run(batches: Iterator) -> Iterator:
+        tokenizer, known = remembered(tokenizer_path)
         for batch in batches:
             data, bounds = text_bytes(batch.column("text"))
             ids = batch.column("doc_id")
             for low, high in row_groups(np.diff(bounds), AT_ONCE):
                 part = data[bounds[low] : bounds[high]]
                 tokens, ends = encode(part, bounds[low : high + 1] - bounds[low], tokenizer, known, end)
-                if len(known.places) > REMEMBERED:
-                    known = Known()
                 row, piece, start, size = cut(np.diff(ends), most)
                 at = ends[row] + start
                 offsets = np.zeros(len(row) + 1, np.int32)
@@ -77,24 +72,84 @@ def tokenise(docs: DataFrame, tokenizer_path: str, most: int = MOST, end: int =
     return rows.mapInArrow(run, PIECES)
 
 
-class Known:
-    """Units met so far, with their token ids end to end in one array."""
+def remembered(path: str):
+    """The tokenizer of a file and the units that this Python worker has met with it, over all its tasks."""
+    if path not in WORKER:
+        import os
 
-    def __init__(self):
-        self.places: dict[bytes, int] = {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        WORKER.clear()
+        tokenizer = Tokenizer.from_file(path)
+        WORKER[path] = tokenizer, Known(tokenizer)
+    return WORKER[path]
+
+
+WORKER: dict = {}
+
+
+class Known:
+    """Units met so far, at most ``REMEMBERED`` and those of one call, with their token ids end to end."""
+
+    def __init__(self, tokenizer):
+        self.forget()
+        # How many bytes of text a token stands for: byte-level tokens have a character for each.
+        added = {i: len(t.content.encode()) for i, t in tokenizer.get_added_tokens_decoder().items()}
+        vocabulary = tokenizer.get_vocab()
+        self.token_bytes = np.zeros(max([*vocabulary.values(), *added], default=0) + 1, np.int64)
+        self.token_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        for i, size in added.items():
+            self.token_bytes[i] = size
+
+    def forget(self) -> None:
+        self.units = pa.array([], pa.large_binary())
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
 
-    def add(self, units: list[bytes], tokenizer) -> None:
-        encode_batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-        parts, widths = [self.ids], []
-        for low in range(0, len(units), 20_000):
-            found = [e.ids for e in encode_batch([u.decode("utf-8", "replace") for u in units[low : low + 20_000]], add_special_tokens=False)]
-            widths += map(len, found)
-            parts.append(np.fromiter(chain.from_iterable(found), np.uint32))
-        self.places.update(zip(units, range(len(self.places), len(self.places) + len(units)), strict=True))
-        self.ids = np.concatenate(parts)
-        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(np.array(widths, np.int64)))
+    def places(self, units: pa.Array, tokenizer) -> np.ndarray:
+        """The place of each of the different units; those not met before are encoded."""
+        if len(self.units) + len(units) > REMEMBERED:
+            self.forget()
+        place = pc.index_in(units, value_set=self.units)
+        fresh = units.filter(pc.is_null(place))
+        first = len(self.units)
+        if len(fresh):
+            ids, widths = encode_units(fresh, tokenizer, self.token_bytes)
+            self.units = pa.concat_arrays([self.units, fresh])
+            self.ids = np.concatenate([self.ids, ids])
+            self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(widths))
+        out = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        out[out < 0] = np.arange(first, first + len(fresh))
+        return out
+
+
+def encode_units(units: pa.Array, tokenizer, token_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the units end to end, and how many each has.
+
+    Units are encoded many at a time, as texts in which every unit starts at a cut, so that no
+    token spans two. Tokens are told apart by the bytes they stand for; where a tokenizer's
+    do not add up to the text, units are encoded one by one.
+    """
+    batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+
+    def ids_of(texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+
+    data, bounds = text_bytes(units)
+    starts, _ = unit_starts(data, np.array([0, len(data)], np.int64))
+    joins = np.isin(bounds[:-1], starts)
+    alone = np.flatnonzero(~joins)
+    cuts = np.unique(np.concatenate([[0, len(units)], alone, np.arange(0, len(units), JOINED)]))
+    raw = data.tobytes()
+    found = ids_of([raw[bounds[a] : bounds[b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+    ids = np.fromiter(chain.from_iterable(found), np.uint32)
+    ends = np.cumsum(token_bytes[ids])
+    last = np.searchsorted(ends, bounds[1:])
+    if len(ids) and ends[-1] == len(data) and (ends[last] == bounds[1:]).all():
+        return ids, np.diff(np.concatenate([[-1], last]))
+    found = ids_of([raw[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+    return np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(f) for f in found], np.int64)
 
 
 def encode(data, bounds, tokenizer, known: Known, end: int):
@@ -106,11 +161,7 @@ def encode(data, bounds, tokenizer, known: Known, end: int):
     array = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
     coded = array.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    units = coded.dictionary.to_pylist()
-    fresh = [u for u in units if u not in known.places]
-    if fresh:
-        known.add(fresh, tokenizer)
-    place = np.fromiter(map(known.places.__getitem__, units), np.int64, len(units))
+    place = known.places(coded.dictionary, tokenizer)
     at, width = known.ends[place], known.ends[place + 1] - known.ends[place]
     pool = known.ids
     # Every row's units, then its end: the end is one more unit with one id.
@@ -209,19 +260,21 @@ def pack(pieces: DataFrame, most: int = MOST) -> DataFrame:
     separate pieces. No pieces: no rows.
     """
     spark = pieces.sparkSession
+    # A number of its own lets equal rows, and rows without doc_id, fall into different slices.
+    pieces = written(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = spark.createDataFrame(best_fit(counts, most), PLAN)
-    placed = numbered(pieces, ["length"], [F.col("doc_id"), F.col("piece")])
+    placed = numbered(pieces, ["length"], [F.col("doc_id"), F.col("piece"), F.col("_row")])
     fits = (F.col("length") == F.col("plan_length")) & F.col("rank").between(F.col("first_rank"), F.col("last_rank"))
     # At most a few plan rows for each of the ``most`` lengths, so small enough for all tasks.
     return (
         placed.join(F.broadcast(plan), fits)
         .withColumn("sequence_id", F.col("first_sequence") + F.col("rank") - F.col("first_rank"))
-        .drop("rank", *plan.columns[:4])
+        .drop("rank", "_row", *plan.columns[:4])
     )
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, most: int = MOST, end: int = END) -> DataFrame:
     """Per piece of ``docs``: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     pieces = tokenise(docs, tokenizer_path, most, end).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(written(pieces, "pieces"), most)
+    return pack(pieces, most)

@@ -22,9 +22,7 @@ ODD = [
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(PATH)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(PATH)
 
 
 def whole(tokenizer, text):
@@ -37,7 +35,7 @@ def test_units_encode_like_whole_texts(tokenizer):
     texts = ODD + ["".join(rng.choice(marks) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
     raw = [t.encode() for t in texts]
     bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    tokens, ends = packing.encode(np.frombuffer(b"".join(raw), np.uint8), bounds, tokenizer, packing.Known(), 0)
+    tokens, ends = packing.encode(np.frombuffer(b"".join(raw), np.uint8), bounds, tokenizer, packing.Known(tokenizer), 0)
     for i, text in enumerate(texts):
         assert tokens[ends[i] : ends[i + 1]].tolist() == whole(tokenizer, text), repr(text)
 
@@ -99,3 +97,22 @@ def test_odd_tables(spark, tokenizer):
     assert sorted((r.doc_id or 0, r.piece, r.length) for r in got)[:4] == [(0, 0, 1), (1, 0, 1), (1, 0, 1), (2, 0, 5002 % 2048)]
     assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
     assert packing.pack_documents(docs.limit(0), PATH).collect() == []
+
+
+def test_units_of_a_tokenizer_without_bytes_are_encoded_one_by_one(tokenizer):
+    units = packing.pa.array([b" one", b" two", b"three", b" \n", b" <|endoftext|>"], packing.pa.large_binary())
+    plain = packing.encode_units(units, tokenizer, packing.Known(tokenizer).token_bytes)
+    single = packing.encode_units(units, tokenizer, np.ones(60_000, np.int64))
+    assert plain[0].tolist() == single[0].tolist() and plain[1].tolist() == single[1].tolist()
+
+
+def test_worker_memory_is_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    known = packing.Known(tokenizer)
+    for n in range(20):
+        texts = [f"w{n} x{n} shared {i}" for i in range(9)]
+        raw = [t.encode() for t in texts]
+        bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        tokens, ends = packing.encode(np.frombuffer(b"".join(raw), np.uint8), bounds, tokenizer, known, 0)
+        assert [tokens[ends[i] : ends[i + 1]].tolist() for i in range(9)] == [whole(tokenizer, t) for t in texts]
+        assert len(known.units) <= 50

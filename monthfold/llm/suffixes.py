@@ -272,20 +272,30 @@ def equal_runs(body, start, group, length: int):
     """Multikey quicksort of the strings from ``start``: which are equal to another of their group.
 
     Gives the strings (indexes) in order and a number for each run of equal ones.
+    Strings alone in their group or run are sorted for good; of the others only runs
+    whose next eight bytes differ are sorted by them.
     """
     words = words_at(body)
-    index = np.arange(len(start))
+    index = np.flatnonzero(np.bincount(group, minlength=1)[group] > 1)
+    index = index[np.argsort(group[index], kind="stable")]
+    group = group[index]
     for offset in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
-        key = words[start[index] + offset].byteswap()
-        order = np.lexsort((key, group))
-        index, group, key = index[order], group[order], key[order]
-        fresh = np.append(True, (group[1:] != group[:-1]) | (key[1:] != key[:-1]))[: len(index)]
-        run = np.cumsum(fresh) - 1
-        # Strings alone in their run are sorted for good.
-        shared = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
-        index, group = index[shared], run[shared]
         if len(index) == 0:
             break
+        fresh = np.append(True, group[1:] != group[:-1])
+        run = np.cumsum(fresh) - 1
+        key = words[start[index] + offset]
+        differs = np.zeros(run[-1] + 1, bool)
+        differs[run[key != key[fresh][run]]] = True
+        some = np.flatnonzero(differs[run])
+        if len(some):
+            order = some[np.lexsort((key[some].byteswap(), run[some]))]
+            index[some], key[some] = index[order], key[order]
+            fresh[1:] |= key[1:] != key[:-1]
+            run = np.cumsum(fresh) - 1
+            shared = np.bincount(run)[run] > 1
+            index, run = index[shared], run[shared]
+        group = run
     return index, group
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthfold.llm.common import numbered, own, whole_text, written
-from monthfold.llm.units import WIDE_SPACES, is_space, row_groups, spread, text_bytes
+from monthfold.llm.units import WIDE_SPACES, is_space, row_groups, spread, text_bytes, trimmed
 
 MOST = 2048
 END = 0
@@ -69,7 +69,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, most: int = MOST, end: int =
                 )
 
     rows = own(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(trimmed(run), PIECES)
 
 
 def remembered(path: str):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthfold.llm.common import own, whole_text
-from monthfold.llm.units import by_bytes, row_groups, slices, spread, text_bytes
+from monthfold.llm.units import by_bytes, row_groups, slices, spread, text_bytes, trimmed
 
 LENGTH = 100
 GRAM = 20
@@ -130,7 +130,7 @@ def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 part = slice(at, at + 1_000_000)
                 yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(doc[row[part]]), pa.array(place[part] * COUNTS + count[part])], ["key", "doc", "info"])
 
-    return docs.mapInArrow(run, "key long, doc long, info long")
+    return docs.mapInArrow(trimmed(run), "key long, doc long, info long")
 
 
 def owned(place, row, hashed, sizes, length: int, gram: int):
@@ -265,7 +265,7 @@ def stretches(met: DataFrame, splitters, length: int, gram: int) -> DataFrame:
                     if len(r):
                         yield part(REPEAT, names[r] % RANGES, names[r], names[r], b, None, e - b, None)
 
-    return met.mapInArrow(run, PARTS)
+    return met.mapInArrow(trimmed(run), PARTS)
 
 
 def equal_runs(body, start, group, length: int):
@@ -355,7 +355,7 @@ def repeats(parts: DataFrame, length: int) -> DataFrame:
             yield solve(held.combine_chunks())
 
     dealt = parts.repartition("range").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "doc long, begin long, size long")
+    return dealt.mapInArrow(trimmed(run), "doc long, begin long, size long")
 
 
 def leading_splitters(docs: DataFrame, length: int, gram: int):
@@ -378,7 +378,7 @@ def leading_splitters(docs: DataFrame, length: int, gram: int):
             if len(found):
                 yield pa.RecordBatch.from_arrays([pa.array(words_at(data)[found].byteswap().view(np.int64))], ["leading"])
 
-    sample = hashed.where(F.col("hash") <= bound).select("text").mapInArrow(run, "leading long").toArrow()
+    sample = hashed.where(F.col("hash") <= bound).select("text").mapInArrow(trimmed(run), "leading long").toArrow()
     leading = np.sort(sample.column("leading").to_numpy().view(np.uint64))
     if len(leading) == 0:
         return leading
@@ -437,5 +437,5 @@ def remaining(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFr
                 yield pa.RecordBatch.from_arrays([doc.slice(low, high - low), pa.array(n_bytes), pa.array(removed), pa.array(spans_n), kept], names)
 
     whole = rows.join(spans.hint("merge"), "doc", "left").select("doc", "text", "begins", "sizes")
-    left = whole.mapInArrow(run, "doc long, n_bytes long, n_removed long, n_spans long, kept binary")
+    left = whole.mapInArrow(trimmed(run), "doc long, n_bytes long, n_removed long, n_spans long, kept binary")
     return left.select(F.nullif("doc", F.lit(LAST)).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")

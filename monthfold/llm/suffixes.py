@@ -35,7 +35,7 @@ RANGES = 4096
 SAMPLE = 500
 LAST = 2**63 - 1
 #: Bytes of text that a task looks at together, and among which equal stretches are found at once.
-AT_ONCE = 4_000_000
+AT_ONCE = 1_000_000
 TOGETHER = 16_000_000
 #: Counts share a number with positions, below this bound; the bound itself means hot.
 COUNTS = 1024

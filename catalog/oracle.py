@@ -195,6 +195,20 @@ ORACLE: dict[str, str] = {
     "ingest_with_repeats": f"{_CELLS} SELECT {_IDS}, month, month_number, sales_amount FROM k",
     "repeats_removed": f"""{_CELLS} SELECT (SELECT COUNT(*) FROM r) AS input_records, (SELECT COUNT(*) FROM cells) AS long_records,
       CAST(SUM(n) AS BIGINT) AS valid_records, CAST(SUM(n - 1) AS BIGINT) AS duplicates_removed, COUNT(*) AS total_records FROM k""",
+    "surrogate_keys_over_runs": _with_delivered(
+        f"""SELECT month, COUNT(*) AS records, COUNT(*) AS keys, CAST(0 AS BIGINT) AS bad_keys FROM (
+          SELECT month FROM d WHERE NOT {_BAD_STRICT} UNION ALL SELECT month FROM l WHERE year >= 1996 AND NOT {_BAD_STRICT})
+        GROUP BY month"""
+    ),
+    "global_scope_on_write": _with_delivered(
+        f"""SELECT {_IDS}, month, CAST(MAX(sales_amount) AS DOUBLE) AS sales_amount FROM (
+          SELECT {_IDS}, month, sales_amount FROM d WHERE NOT {_BAD_STRICT}
+          UNION ALL
+          SELECT {_IDS}, month, sales_amount FROM (
+            SELECT * REPLACE (CAST(sales_amount + 1 AS DECIMAL(18, 2)) AS sales_amount) FROM l WHERE year >= 1999)
+          WHERE NOT {_BAD_STRICT})
+        GROUP BY {_IDS}, month"""
+    ),
     "full_refresh_replaces": _with_long(
         f"""SELECT {_IDS}, month, CAST(sales_amount AS DOUBLE) AS sales_amount, 'sales_refreshed.csv' AS source_file
         FROM l WHERE year >= 1996 AND NOT {_BAD_STRICT}"""

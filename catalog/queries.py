@@ -617,6 +617,34 @@ def full_refresh_replaces(spark: SparkSession, sf: str) -> DataFrame:
     return plain(ingest.read_curated(spark, first, committed=False).select(*IDS, "month", "sales_amount", "source_file"))
 
 
+@query
+def surrogate_keys_over_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Curated rows of two runs, counted by month: keys are there, above 0 and never given twice."""
+    first = _config(spark, tables.delivered(spark, sf))
+    ingest.run(spark, first)
+    source = fresh_folder(spark, "later")
+    writers.write_csv(tables.wide(spark, sf).where("year >= 1996"), f"{source}/sales_later.csv")
+    ingest.run(spark, replace(first, source=source))
+    rows = ingest.read_curated(spark, first, record_ids=True)
+    # A key that two rows share would be counted twice in one of its months, or in two months.
+    shared = rows.groupBy("record_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or record_id is null or record_id < 1")
+    counted = rows.groupBy("month").agg(F.count(F.lit(1)).alias("records"), F.count_distinct("record_id").alias("keys"))
+    bad = shared.agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumn("bad_keys", bad.scalar())
+
+
+@query
+def global_scope_on_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without duplicates between files after a second run repeats and changes some of them."""
+    cfg = _config(spark, tables.delivered(spark, sf), dedup_scope="global")
+    ingest.run(spark, cfg)
+    source = fresh_folder(spark, "doubled")
+    raised = [(F.col(c) + 1).cast("decimal(18,2)").alias(c) for c in MEASURES]
+    writers.write_csv(tables.wide(spark, sf).where("year >= 1999").select(*IDS, *raised), f"{source}/sales_doubled.csv")
+    ingest.run(spark, replace(cfg, source=source))
+    return plain(ingest.read_curated(spark, cfg).select(*IDS, "month", "sales_amount"))
+
+
 @query
 def ledger_state(spark: SparkSession, sf: str) -> DataFrame:
     cfg = _config(spark, tables.delivered(spark, sf))

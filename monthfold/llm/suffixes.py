@@ -37,6 +37,8 @@ LAST = 2**63 - 1
 #: Bytes of text that a task looks at together, and among which equal stretches are found at once.
 AT_ONCE = 1_000_000
 TOGETHER = 16_000_000
+#: Strings of hot grams that are hashed and sorted at a time.
+STRINGS = 500_000
 #: Counts share a number with positions, below this bound; the bound itself means hot.
 COUNTS = 1024
 KNOWN = COUNTS - 1
@@ -194,6 +196,20 @@ def stretches(met: DataFrame, splitters, length: int, gram: int) -> DataFrame:
         types = [f.type for f in FIELDS][:6]
         return pa.RecordBatch.from_arrays([*[pa.array(a).cast(t) for a, t in zip(arrays, types, strict=True)], pa.nulls(n, pa.binary()) if body is None else body], schema=FIELDS)
 
+    def first_strings(one, two, r, b, names):
+        """Of strings in the order of their places, the first of each run of equal ones, and the places of the others."""
+        order = np.argsort(one, kind="stable")
+        fresh = np.append(True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))
+        head = np.flatnonzero(fresh)
+        by = order[np.repeat(head, np.diff(np.append(head, len(order))))]
+        again = ~fresh & ((names[r[order]] != names[r[by]]) | (b[order] != b[by]))
+        kept, gone = np.sort(order[head]), order[again]
+        return [x[kept] for x in (one, two, r, b)], (r[gone], b[gone])
+
+    def repeated(names, r, b):
+        r, b, e = merged(r, b, b + length)
+        return part(REPEAT, names[r] % RANGES, names[r], names[r], b, None, e - b, None)
+
     def run(batches):
         for batch in batches:
             data, bounds = text_bytes(batch.column("text"))
@@ -243,27 +259,27 @@ def stretches(met: DataFrame, splitters, length: int, gram: int) -> DataFrame:
                     )
                 single = np.flatnonzero(fresh & hot)
                 if len(single):
-                    count = last[single] - first[single] + 1
-                    at = spread(start[single], count)
-                    one, two = hash_of(words, at, length, 2), hash_of(words, at, length, 3)
-                    r = row[np.repeat(single, count)]
-                    b = at - inner[r]
-                    # Of equal strings only the first goes on.
-                    order = np.lexsort((b, names[r], two, one))
-                    r, b, one, two = r[order], b[order], one[order], two[order]
-                    fresh = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))
+                    # Of equal strings only the first goes on: among a part of them, then among what the parts leave.
+                    firsts = [np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64)]
+                    for low_row, high_row in row_groups(last[single] - first[single] + 1, STRINGS):
+                        some = single[low_row:high_row]
+                        count = last[some] - first[some] + 1
+                        at = spread(start[some], count)
+                        r = row[np.repeat(some, count)]
+                        b = at - inner[r]
+                        one, two = hash_of(words, at, length, 2), hash_of(words, at, length, 3)
+                        (one, two, r, b), again = first_strings(one, two, r, b, names)
+                        if len(again[0]):
+                            yield repeated(names, *again)
+                        firsts = [np.append(x, y) for x, y in zip(firsts, (one, two, r, b), strict=True)]
+                    (one, two, r, b), again = first_strings(*firsts, names)
+                    if len(again[0]):
+                        yield repeated(names, *again)
                     # Told apart by 95 bits: the key and what else fits into the column of sizes.
-                    k = np.flatnonzero(fresh)
-                    k = k[np.lexsort((b[k], r[k]))]
                     yield part(
-                        STRING, (one[k] % np.uint64(RANGES)).astype(np.int64), one[k].view(np.int64),
-                        names[r[k]], b[k], None, (two[k] >> np.uint64(33)).astype(np.int64), None,
+                        STRING, (one % np.uint64(RANGES)).astype(np.int64), one.view(np.int64),
+                        names[r], b, None, (two >> np.uint64(33)).astype(np.int64), None,
                     )
-                    head = np.repeat(np.flatnonzero(fresh), np.diff(np.append(np.flatnonzero(fresh), len(r))))
-                    again = ~fresh & ((names[r] != names[r[head]]) | (b != b[head]))
-                    r, b, e = merged(r[again], b[again], b[again] + length)
-                    if len(r):
-                        yield part(REPEAT, names[r] % RANGES, names[r], names[r], b, None, e - b, None)
 
     return met.mapInArrow(trimmed(run), PARTS)
 

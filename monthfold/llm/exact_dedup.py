@@ -1,11 +1,13 @@
-"""Exact duplicates by a tree of hash aggregates over digests.
+"""Exact duplicates by a tree-merge of sorted runs of digests.
 
-Every row is one digest; rows are dealt to runs by the hash of their id. A run
-keeps, per digest, the row that stays. Runs are then put together in rounds, several
-neighbours at a time (64 runs, then 8, then 1), by grouping on run and digest; runs
-are not sorted, and no sorted merge takes place. Every round keeps the better of the
-rows it meets and adds up their counts. A hot digest is thereby one row per task
-of the first round and at most 8 rows per merge later.
+Every row is one digest; rows are dealt to lanes by the hash of their id. A lane's
+run is sorted by digest and holds, per digest, the row that stays. In binomial
+rounds (16 lanes, then 8, 4, 2, 1) every second lane hands its run to its
+neighbour. A run is cut into ranges of digests, so that a round's tasks each merge
+the pieces of one range from all tasks of the round before: rows are dealt by lane
+and range, sorted by digest, and neighbours with one digest become the better of
+them, with their counts added up. A hot digest is thereby one row per task of the
+first round and two rows per merge later.
 
 Digests are verified by the length and a second hash of the normalised text: they
 are part of the key, so texts with equal digests but other content stay apart.
@@ -18,9 +20,10 @@ from pyspark.sql import functions as F
 
 from monthfold.llm.common import SPACE_CLASS, carried, own, restored, whole_text, written
 
-RUNS = 64
-FAN_IN = 8
+LANES = 16
 KEY = ["digest", "norm_chars", "second"]
+# Leading hexadecimal digits of a digest that name its range.
+RANGE_DIGITS = 3
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -40,22 +43,29 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def merge_runs(rows: DataFrame) -> DataFrame:
+def merge_runs(rows: DataFrame, lanes: int = LANES) -> DataFrame:
     """One row per digest: the id that stays, its length and the group's size."""
     better = F.struct(F.col("chars"), F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("before"))
-    runs = rows.select(
-        *KEY, F.pmod(F.xxhash64("doc_id"), F.lit(RUNS)).cast("int").alias("run"), better.alias("best"), F.lit(1).cast("long").alias("n")
-    )
-    width = RUNS
-    while True:
-        runs = runs.groupBy("run", *KEY).agg(F.max("best").alias("best"), F.sum("n").alias("n"))
-        if width == 1:
-            break
-        width = -(-width // FAN_IN)
-        runs = runs.withColumn("run", F.floor(F.col("run") / FAN_IN).cast("int"))
+    lane = F.pmod(F.xxhash64("doc_id"), F.lit(lanes)).cast("int")
+    place = F.conv(F.substring(F.hex("digest"), 1, RANGE_DIGITS), 16, 10).cast("int")
+    single = rows.select(lane.alias("lane"), place.alias("range"), *KEY, better.alias("best"), F.lit(1).cast("long").alias("n"))
+    # Tasks fold what they read before anything is dealt.
+    runs = merged(single)
+    while lanes > 1:
+        lanes = -(-lanes // 2)
+        handed = runs.withColumn("lane", F.floor(F.col("lane") / 2).cast("int"))
+        runs = merged(handed.repartition("lane", "range").sortWithinPartitions("lane", "range", *KEY))
     return runs.select(*KEY, (-F.col("best.before")).alias("keep_id"), F.col("best.chars").alias("keep_chars"), F.col("n").alias("group_size"))
 
 
+def merged(runs: DataFrame) -> DataFrame:
+    """Rows of a lane with one digest put together: the better of them, and their number.
+
+    The maximum of a struct is a sort aggregate: it reads rows in the order of lane, range and digest.
+    """
+    return runs.groupBy("lane", "range", *KEY).agg(F.max("best").alias("best"), F.sum("n").alias("n"))
+
+
 def exact_groups(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): keep_id, group_size, kept, text_sha256.
 

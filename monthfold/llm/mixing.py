@@ -4,9 +4,9 @@ The words of a source form one stream (its documents in a fixed order), cut into
 blocks of ``block_words``. A source's target becomes a number of slots, each
 taking one block. Slots are drawn to output shards independently of each other,
 so a shard's counts by source are a multinomial draw, and their totals meet the
-targets to within a block. Slot k of a source takes block ``perm(k mod blocks)``,
-where ``perm`` is the source's own pseudorandom permutation of block indexes, one
-for each pass over the source; slots and blocks meet in a join by index.
+targets to the word. Slot k of a source takes block ``perm(k mod blocks)``, where
+``perm`` is a pseudorandom permutation keyed by seed, source and pass over the
+source; slots and blocks meet in a join by index.
 
 Everything is DataFrame expressions. Streams are laid out by sums over slices of
 a source (see ``common.running``), so a hot source is no single task.
@@ -19,14 +19,13 @@ from pyspark.sql import functions as F
 
 from monthfold.llm.common import WORD_CLASS, carried, own, restored, running, whole_text, written
 
-BLOCK_WORDS = 32
+BLOCK_WORDS = 512
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
 SHARDS = 64
 SEED = 17
-# Primes below 2**29, so that a product with an index below 2**34 stays a long.
-MULTIPLIERS = (536870909, 536870879, 536870869)
-INDEX_LIMIT = 2**34
+# Rounds of the Feistel network.
+ROUNDS = 6
 
 
 def word_count(name: str = "text") -> Column:
@@ -63,37 +62,72 @@ def targets(sizes: DataFrame, share: float = 1.0, weights: tuple[float, ...] = W
     )
 
 
-def permuted(index: Column, size: Column, turn: Column) -> Column:
-    """A pseudorandom place for ``index`` below ``size``; one to one for a given ``turn``.
+def permuted(index: Column, size: Column, key: Column) -> Column:
+    """A pseudorandom place for ``index`` below ``size``; one to one for a given ``key``.
 
-    Multiplies by a prime that does not divide ``size`` and shifts; at most two
-    of the three primes can divide a size below the index limit's square.
+    A keyed Feistel network over a rectangle of about ``size`` cells: the two coordinates are in turn shifted by
+    a hash of key, round and the other one. A place outside ``size`` is sent through again until it is inside;
+    fewer than ``wide`` cells are outside, which bounds the walk.
     """
-    first, second, third = (F.lit(p).cast("long") for p in MULTIPLIERS)
-    factor = F.when(size % first != 0, first).when(size % second != 0, second).otherwise(third)
-    return F.pmod(index * factor + (turn + SEED) * F.lit(7919), size)
+    one = F.lit(1).cast("long")
+    size = size.cast("long")
+    wide = F.greatest(F.ceil(F.sqrt(size)).cast("long"), one)
+    high = F.greatest(F.floor((size + wide - 1) / wide), one)
+
+    def turned(at: Column, i: Column) -> Column:
+        low, top = at["low"], at["top"]
+        even = i % 2 == 0
+        return F.struct(
+            F.when(even, F.pmod(low + F.pmod(F.xxhash64(key, i, top), wide), wide)).otherwise(low).alias("low"),
+            F.when(even, top).otherwise(F.pmod(top + F.pmod(F.xxhash64(key, i, low), high), high)).alias("top"),
+        )
+
+    def sent(place: Column) -> Column:
+        at = F.struct((place % wide).alias("low"), F.floor(place / wide).alias("top"))
+        done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), at, turned)
+        return done["top"] * wide + done["low"]
+
+    first = sent(index.cast("long"))
+    inside = F.aggregate(F.sequence(one, wide), first, lambda at, _: F.when(at < size, at).otherwise(sent(at)))
+    return F.when(first < size, first).otherwise(inside)
 
 
 def plan_slots(goals: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS) -> DataFrame:
-    """One row per slot: source_id, slot, turn (pass over the source), shard, block (index in its source)."""
-    blocks = F.ceil(F.col("source_size") / block_words).cast("long")
-    passes = F.floor(F.col("target") / F.col("source_size")).cast("long")
-    rest = F.round((F.col("target") - passes * F.col("source_size")) / block_words).cast("long")
-    counted = goals.where("source_size > 0").select("source_id", blocks.alias("blocks"), (passes * blocks + F.least(rest, blocks)).alias("slots"))
+    """One row per slot: source_id, slot, turn (pass over the source), shard, block (index in its source), most (words it takes).
+
+    A pass takes the source's full blocks in a permuted order, then the shorter one at its end. The
+    last pass stops at the target: its last slot takes only the words that are left.
+    """
+    size, target = F.col("source_size"), F.col("target")
+    full = F.floor(size / block_words)
+    blocks = F.ceil(size / block_words).cast("long")
+    passes = F.floor(target / size)
+    rest = F.round(target - passes * size).cast("long")
+    whole = F.least(F.floor(rest / block_words), full)
+    left = rest - whole * block_words
+    counted = goals.where("source_size > 0").select(
+        "source_id",
+        F.xxhash64(F.lit(SEED), "source").alias("key"),
+        full.alias("full"),
+        blocks.alias("blocks"),
+        left.alias("left"),
+        (passes * blocks + whole + (left > 0).cast("long")).alias("slots"),
+    )
     # Runs of slots first, so that a hot source is spread before it is expanded.
     run = 4096
-    runs = counted.where("slots > 0").select("source_id", "blocks", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / run))).alias("run"))
+    runs = counted.where("slots > 0").withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / run))))
     spread = runs.repartition("source_id", "run")
-    slot = spread.select(
-        "source_id", "blocks", F.explode(F.sequence(F.col("run") * run, F.least(F.col("run") * run + run, F.col("slots")) - 1)).alias("slot")
-    )
+    slot = spread.withColumn("slot", F.explode(F.sequence(F.col("run") * run, F.least(F.col("run") * run + run, F.col("slots")) - 1)))
     turn = F.floor(F.col("slot") / F.col("blocks"))
+    place = F.col("slot") % F.col("blocks")
+    last = (F.col("left") > 0) & (F.col("slot") == F.col("slots") - 1)
     return slot.select(
         "source_id",
         "slot",
         turn.cast("long").alias("turn"),
         F.pmod(F.xxhash64(F.lit(SEED), "source_id", "slot"), F.lit(shards)).cast("int").alias("shard"),
-        permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), turn).alias("block"),
+        F.when(place < F.col("full"), permuted(place, F.col("full"), F.xxhash64("key", turn))).otherwise(place).alias("block"),
+        F.when(last, F.col("left")).otherwise(F.lit(block_words)).cast("long").alias("most"),
     )
 
 
@@ -107,7 +141,9 @@ def stream_layout(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     goals = written(targets(sizes).withColumn("source_id", F.row_number().over(order).cast("long")), "targets")
     named = goals.select(F.col("source").alias("_source"), "source_id", "source_size", "target")
     keyed = sized.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    return running(keyed, ["source_id"], [F.col("doc_id"), F.col("size")], "size"), goals
+    # Rows without doc_id take their own number, so that many of them are no single slice.
+    unnamed = F.when(F.col("doc_id").isNull(), F.col("row"))
+    return running(keyed, ["source_id"], [F.col("doc_id"), F.col("size"), unnamed], "size"), goals
 
 
 def stretches(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS) -> DataFrame:
@@ -130,10 +166,11 @@ def stretches(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHA
     # the planner's estimate of the slots, so it must be told not to broadcast them.
     met = blocks.join(slots.hint("merge"), (F.col("source_id") == F.col("_id")) & (F.col("block") == F.col("_block")), "left")
     begin = F.greatest(F.col("start"), F.col("block") * block_words)
-    end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
-    taken = F.col("slot").isNotNull()
+    end = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.col("most"))
+    taken = F.col("slot").isNotNull() & (begin < end)
     return met.select(
-        "doc_id", "source", "size", "source_size", "target", "shard", "slot", "turn",
+        "doc_id", "source", "size", "source_size", "target",
+        *[F.when(taken, F.col(c)).alias(c) for c in ("shard", "slot", "turn")],
         F.when(taken, begin - F.col("start")).alias("first"),
         F.when(taken, end - begin).otherwise(F.lit(0)).cast("long").alias("words"),
         "start",

@@ -51,3 +51,21 @@ def test_hot_group(spark, copies):
     docs = spark.range(copies).selectExpr("id as doc_id", "if(id % 3 > 0, 'same  text', concat('t', id)) as text")
     rows = exact_dedup.exact_groups(docs).where("doc_id % 3 > 0").collect()
     assert {(r.keep_id, r.group_size) for r in rows} == {(1, copies - -(-copies // 3))}
+
+
+@pytest.mark.parametrize("lanes", [1, 2, 5, 16])
+def test_rounds_of_any_number_of_lanes(spark, lanes):
+    docs = spark.range(300).selectExpr("id as doc_id", "repeat(concat('t', id % 7, ' '), 1 + int(id % 3)) as text")
+    rows = exact_dedup.merge_runs(exact_dedup.digests(docs), lanes).collect()
+    groups = {}
+    for i in range(300):
+        groups.setdefault((i % 7, i % 3), []).append(i)
+    assert sorted((r.keep_id, r.group_size) for r in rows) == sorted((min(g), len(g)) for g in groups.values())
+
+
+def test_runs_are_sorted_and_merged_without_another_exchange(spark):
+    plan = exact_dedup.merge_runs(exact_dedup.digests(spark.range(10).selectExpr("id as doc_id", "cast(id as string) as text")))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    # One exchange for the first runs and one for each of the four rounds; every merge reads sorted rows.
+    assert text.count("Exchange hashpartitioning(lane") == 5
+    assert text.count("SortAggregate(") == 10 and "HashAggregate(" not in text

@@ -16,6 +16,13 @@ from pyspark.sql import functions as F
 
 from monthfold.llm.common import own, whole_text
 
+# Identifiers that may follow "SPDX-License-Identifier:".
+SPDX = (
+    "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "CC-BY-4.0",
+    "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only",
+    "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense",
+)
+
 # Sentences of public licences and of notices that name them.
 SENTENCES = {
     "mit-notice": "Released under the MIT License.",
@@ -53,6 +60,27 @@ SENTENCES = {
     "cc-by-nc-notice": "Licensed under CC BY-NC 4.0.",
     "cc-by-nd-notice": "Licensed under CC BY-ND 4.0.",
     "reserved": "All rights reserved.",
+    "mit-notice-3": "Licensed under MIT.",
+    "isc-notice": "Licensed under the ISC License.",
+    "apache-notice-2": "Licensed under the Apache License 2.0.",
+    "gpl-redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;",
+    "gpl-2-later": "either version 2 of the License, or (at your option) any later version.",
+    "gpl-3-later": "either version 3 of the License, or (at your option) any later version.",
+    "lgpl-grant": "This library is free software;",
+    "lgpl-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation;",
+    "lgpl-2-1-later": "either version 2.1 of the License, or (at your option) any later version.",
+    "gpl-title": "GNU GENERAL PUBLIC LICENSE.",
+    "lgpl-title": "GNU LESSER GENERAL PUBLIC LICENSE.",
+    "agpl-title": "GNU AFFERO GENERAL PUBLIC LICENSE.",
+    "gpl-2-date": "Version 2, June 1991.",
+    "lgpl-2-1-date": "Version 2.1, February 1999.",
+    "gpl-3-date": "Version 3, 29 June 2007.",
+    "agpl-3-date": "Version 3, 19 November 2007.",
+    "mpl-title": "Mozilla Public License Version 2.0.",
+    "boost-title": "Boost Software License - Version 1.0 - August 17th, 2003.",
+    "eclipse-title": "Eclipse Public License - v 2.0.",
+    "spdx": "SPDX-License-Identifier:",
+    **{f"spdx-{name}": name for name in SPDX},
 }
 
 # Rules in order, the more specific first.
@@ -84,11 +112,26 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc-notice",)),
     ("CC-BY-ND-4.0", ("cc-by-nd-notice",)),
     ("all-rights-reserved", ("reserved",)),
+    ("MIT", ("mit-notice-3",)),
+    ("ISC", ("isc-notice",)),
+    ("Apache-2.0", ("apache-notice-2",)),
+    ("GPL-2.0-or-later", ("gpl-grant", "gpl-redistribute", "gpl-2-later")),
+    ("GPL-3.0-or-later", ("gpl-grant", "gpl-redistribute", "gpl-3-later")),
+    ("LGPL-2.1-or-later", ("lgpl-grant", "lgpl-redistribute", "lgpl-2-1-later")),
+    ("GPL-2.0", ("gpl-title", "gpl-2-date")),
+    ("GPL-3.0", ("gpl-title", "gpl-3-date")),
+    ("LGPL-2.1", ("lgpl-title", "lgpl-2-1-date")),
+    ("LGPL-3.0", ("lgpl-title", "gpl-3-date")),
+    ("AGPL-3.0", ("agpl-title", "agpl-3-date")),
+    ("MPL-2.0", ("mpl-title",)),
+    ("BSL-1.0", ("boost-title",)),
+    ("EPL-2.0", ("eclipse-title",)),
+    *[(name, ("spdx", f"spdx-{name}")) for name in SPDX],
 )
 
 #: A text with none of these parts has no known sentence; every sentence has one. Each
 #: is within a word, so that it stands in the text whatever separates the words.
-HINTS = ("licens", "permission", "redistribut", "copyright", "warranty", "reserved", "software", "domain", "2")
+HINTS = ("licens", "permission", "redistribut", "copyright", "warranty", "reserved", "software", "domain", "2", "mit", "gpl", "isc", "bsd", "bsl", "cc0", "cc", "mpl", "epl")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MARK = "\x01"
 SENTENCE_END = r"([.;:!?])[\x20\x09-\x0D]+"

@@ -59,3 +59,24 @@ def test_every_rule_is_met_by_its_own_sentences(spark):
     header = "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this"
     assert found(spark, header) == ["MPL-2.0"]
     assert found(spark, header.replace("2.0", "9.9")) == []
+
+
+def test_headers_titles_and_spdx_lines(spark):
+    gpl = "This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation; either version 2 of the License, or\n# (at your option) any later version.\n"
+    texts = {
+        "// SPDX-License-Identifier: MIT\nint main;": ["MIT"],
+        "# SPDX-License-Identifier:  GPL-3.0-or-later": ["GPL-3.0-or-later"],
+        "SPDX-License-Identifier: Unknown-1.0": [],
+        gpl: ["GPL-2.0-or-later"],
+        gpl.replace("program", "library").replace("General", "Lesser General").replace("version 2", "version 2.1"): ["LGPL-2.1-or-later"],
+        "  GNU AFFERO GENERAL PUBLIC LICENSE\n   Version 3, 19 November 2007\n": ["AGPL-3.0"],
+        "Licensed under the ISC License.": ["ISC"],
+        "Mozilla Public License Version 2.0\n====": ["MPL-2.0"],
+        "Boost Software License - Version 1.0 - August 17th, 2003\n\nx": ["BSL-1.0"],
+        "Eclipse Public License - v 2.0\n": ["EPL-2.0"],
+        "Licensed under MIT.": ["MIT"],
+        "Licensed under the Apache License 2.0.": ["Apache-2.0"],
+        "mit\nisc": [],
+    }
+    rows = licences.scan(spark.createDataFrame([(t, t) for t in texts], "doc_id string, text string")).collect()
+    assert {r.doc_id: r.licences for r in rows} == texts

@@ -36,11 +36,14 @@ FOUND = "query_id long, vec_id long, score long"
 def quantised(vectors: DataFrame, id_name: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(vec_id, ints): floor(scale * x) of every component, as double arithmetic.
 
-    Left out: null ids, null vectors, vectors with null or non-finite components.
+    Left out: null ids, null vectors, vectors with null or non-finite components, and vectors of a squared
+    length (in these integers) of 2**61 or more, whose inner products need not fit into 64 bits.
     """
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     rows = own(vectors, id_name, vector).toDF("vec_id", "v").select(F.col("vec_id").cast("long"), F.col("v").cast("array<double>"))
     sound = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", finite))
+    length = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
+    sound = sound.where(length < F.lit(2.0**61 / scale**2))
     return sound.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(float(scale)))).alias("ints"))
 
 

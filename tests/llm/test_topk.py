@@ -56,3 +56,10 @@ def test_odd_rows(spark):
         40: [(1, 0, 4096), (2, 3, 4096), (3, 4, 4096), (4, 20, 2048), (5, 9, 0)],
     }
     assert topk.search_vectors(df.limit(0)).collect() == []
+
+
+def test_vectors_too_long_for_64_bits_take_no_part(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e12, 0.0]), (2, [-1e300, 1e300]), (3, [1e6, 0.0]), (20, [1e7, -1e7])]
+    df = spark.createDataFrame([(*r, 0.0, "") for r in rows], SCHEMA)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search_vectors(df).collect())
+    assert got == [(0, 1, 3, 64 * 64_000_000), (0, 2, 20, -64 * 640_000_000), (20, 1, 3, 640_000_000 * 64_000_000), (20, 2, 0, -64 * 640_000_000)]

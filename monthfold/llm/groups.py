@@ -13,8 +13,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
     Rounds of contraction: every node takes the smallest of itself and its
     neighbours as parent, and edges become edges between parents. A node with very
-    many edges is folded on the map side; edges shrink by half a round at least, and
-    tables between rounds are written, so a lost executor repeats one round only.
+    many edges is folded on the map side. Only nodes that are some node's parent go on:
+    a small share where ids are in no order along the edges, as digests are, but all
+    but one on a path in order of its ids. Tables between rounds are written, so a
+    lost executor repeats one round only.
     """
     edges = written(edges.where("a <> b").select("a", "b").distinct(), label)
     roots = None

@@ -1,13 +1,16 @@
-"""Similarity join on word shingles by MinHash banding at a fixed prefix and exact verification.
+"""Similarity join on word shingles by a MinHash LSH forest and exact verification.
 
 Texts with the same words are one node. Every node gets ``TREES`` labels of
-``DEPTH`` minimum hashes each, and nodes with a common prefix in some tree are
-candidates. The prefix has one length for all nodes: the longest at which a link at
-the threshold is met with the target probability (``prefix_for``; hashes behind it
-are not read). This is banding, not an LSH forest: labels are not sorted into tries,
-and prefixes are not shortened by what was matched. Nodes under one prefix are tied
-to the least of them, never to each other, so a prefix that very many nodes share
-gives one tie for each.
+``DEPTH`` minimum hashes each. The labels of a tree are its trie: they are sorted, so
+that every prefix is a stretch of neighbours. One sort by (tree, label), cut into
+ranges, holds all tries; no prefix, however many nodes share it, is one task's alone.
+
+Within a range a task walks down the sorted labels. An entry starts with its whole
+label and is shortened until it meets its neighbour before it, and is tied there
+once, at its longest match, to the head of that stretch; heads are shortened further. No entry
+is shortened below ``prefix_for``, the longest prefix at which all trees together
+meet a link at the threshold with the target recall. What is cut apart
+by a range's border is tied by the first and last entries of all ranges.
 
 Nodes connected by ties form a family; all pairs of a family are compared exactly,
 within tasks: a family is cut into parts of ``PART`` nodes, and each pair of parts
@@ -31,6 +34,7 @@ THRESHOLD = 0.8
 RECALL = 0.999
 TREES, DEPTH = 32, 8
 PART = 256
+NODE_BYTES = 16
 #: Bytes of text whose shingles a task holds at a time.
 AT_ONCE = 2_000_000
 
@@ -128,14 +132,80 @@ def signatures(docs: DataFrame, trees: int = TREES, depth: int = DEPTH, width: i
     return rows.mapInArrow(run, "doc_id long, node binary, any boolean, labels binary")
 
 
-def ties(nodes: DataFrame, trees: int, depth: int, prefix: int) -> DataFrame:
-    """Edges (a, b) between the nodes under a prefix and the least of them."""
+def entries(nodes: DataFrame, trees: int, depth: int) -> DataFrame:
+    """(tree, label, node): every node's entry in every trie."""
     step = depth * 2
-    cut = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("labels", t * step + 1, F.lit(prefix * 2)))
-    placed = nodes.select("node", F.posexplode(cut).alias("tree", "prefix"))
-    least = placed.groupBy("tree", "prefix").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    found = placed.join(least.hint("merge"), ["tree", "prefix"])
-    return found.where("a <> node").select("a", F.col("node").alias("b"))
+    cut = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("labels", t * step + 1, F.lit(step)))
+    return nodes.select("node", F.posexplode(cut).alias("tree", "label")).select("tree", "label", "node")
+
+
+class Walk:
+    """Ties between the sorted entries of one range, batch by batch."""
+
+    def __init__(self, depth: int, shortest: int):
+        self.depth, self.shortest = depth, shortest
+        self.last = None
+        self.heads = np.zeros((depth + 1, NODE_BYTES), np.uint8)
+
+    def step(self, tree, label, node):
+        """(met, head): the length of each entry's longest match before it, and the head of the stretch of that length."""
+        rows = len(tree)
+        hashes = np.ascontiguousarray(label).view(np.uint16).reshape(rows, self.depth)
+        before_tree, before = (np.array([-1]), hashes[:1]) if self.last is None else self.last
+        same = hashes == np.concatenate([before, hashes[:-1]])
+        met = np.logical_and.accumulate(same, axis=1).sum(axis=1)
+        met[tree != np.concatenate([before_tree, tree[:-1]])] = 0
+        head = np.zeros((rows, NODE_BYTES), np.uint8)
+        for length in range(self.shortest, self.depth + 1):
+            lead = np.maximum.accumulate(np.where(met < length, np.arange(rows), -1))
+            leads = np.where((lead >= 0)[:, None], node[np.maximum(lead, 0)], self.heads[length])
+            head[met == length] = leads[met == length]
+            self.heads[length] = leads[-1]
+        self.last = tree[-1:].copy(), hashes[-1:].copy()
+        return met, head
+
+
+def fixed(column, width: int):
+    """A binary column of values of one width as a table of bytes."""
+    return np.frombuffer(column.cast(pa.binary(width)).buffers()[1], np.uint8).reshape(-1, width)[column.offset : column.offset + len(column)]
+
+
+def walked(sorted_entries: DataFrame, depth: int, shortest: int) -> DataFrame:
+    """Ties (a, b) of each range, and its first and last entry (tree, label, b; a is null)."""
+
+    def run(batches):
+        walk, final = Walk(depth, shortest), None
+        for batch in batches:
+            rows = batch.num_rows
+            if rows == 0:
+                continue
+            tree, node = batch.column("tree").to_numpy(), fixed(batch.column("node"), NODE_BYTES)
+            met, head = walk.step(tree, fixed(batch.column("label"), depth * 2), node)
+            tied = np.flatnonzero((met >= shortest) & (head != node).any(axis=1))
+            a = pa.Array.from_buffers(pa.binary(NODE_BYTES), len(tied), [None, pa.py_buffer(np.ascontiguousarray(head[tied]))]).cast(pa.binary())
+            nothing = pa.nulls(len(tied))
+            yield pa.RecordBatch.from_arrays(
+                [nothing.cast(pa.int32()), nothing.cast(pa.binary()), a, batch.column("node").take(pa.array(tied)).cast(pa.binary())], ["tree", "label", "a", "b"]
+            )
+            for border in ([batch.slice(0, 1)] if final is None else []):
+                yield pa.RecordBatch.from_arrays([border.column("tree"), border.column("label"), pa.nulls(1, pa.binary()), border.column("node")], ["tree", "label", "a", "b"])
+            final = batch.slice(rows - 1, 1)
+        if final is not None:
+            yield pa.RecordBatch.from_arrays([final.column("tree"), final.column("label"), pa.nulls(1, pa.binary()), final.column("node")], ["tree", "label", "a", "b"])
+
+    return sorted_entries.mapInArrow(run, "tree int, label binary, a binary, b binary")
+
+
+def ties(nodes: DataFrame, trees: int, depth: int, shortest: int) -> DataFrame:
+    """Edges (a, b) that connect all nodes with a common prefix of ``shortest`` in some trie."""
+    order = ["tree", "label", "node"]
+    sorted_entries = entries(nodes, trees, depth).repartitionByRange(*order).sortWithinPartitions(*order)
+    found = written(walked(sorted_entries, depth, shortest), "ties")
+    # Two entries a range: a stretch that goes on in the next range has one in each.
+    border = found.where("a is null").select("tree", F.substring("label", 1, shortest * 2).alias("prefix"), "b")
+    first = border.groupBy("tree", "prefix").agg(F.min("b").alias("a"))
+    across = border.join(first, ["tree", "prefix"]).where("a <> b").select("a", "b")
+    return found.where("a is not null").select("a", "b").unionAll(across)
 
 
 def compare(sets: list, sizes, first: int, threshold: float):
@@ -224,12 +294,12 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     counts linked documents, copies included. Texts without words, null ones too,
     have no links and are classes of their own. Rows that repeat are copies. No rows: none.
     """
-    prefix = prefix_for(threshold, recall)
+    shortest = prefix_for(threshold, recall)
     rows = written(signatures(docs, width=width), "signatures")
     members = rows.select("doc_id", "node", "any")
     worded = rows.where("any").groupBy("node").agg(F.count("*").alias("size"), F.min("doc_id").alias("first_id"), F.first("labels").alias("labels"))
     nodes = written(worded, "nodes")
-    families = written(components(ties(nodes, TREES, DEPTH, prefix), "families").select("node", F.col("root").alias("family")), "families")
+    families = written(components(ties(nodes, TREES, DEPTH, shortest), "families").select("node", F.col("root").alias("family")), "families")
 
     # One text per node of a family: of its copies, the one with the smallest id.
     sizes = families.groupBy("family").agg(F.count("*").alias("n"))

@@ -2,6 +2,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from monthfold.llm import jaccard
@@ -49,6 +50,63 @@ def test_prefix_is_the_longest_that_meets_the_recall():
         jaccard.prefix_for(0.1, 0.999, 2, 8)
 
 
+def prefix_families(rows, length):
+    """Node sets connected by common prefixes of ``length`` hashes in some tree; rows of (node, labels by tree)."""
+    root = {n: n for n, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    first = {}
+    for node, labels in rows:
+        for tree, label in enumerate(labels):
+            root[find(node)] = find(first.setdefault((tree, label[: 2 * length]), node))
+    families = {}
+    for n in root:
+        families.setdefault(find(n), set()).add(n)
+    return {frozenset(f) for f in families.values() if len(f) > 1}
+
+
+@pytest.mark.parametrize("ranges", ["1", "7"])
+@pytest.mark.parametrize("shortest", [1, 2, 3])
+def test_tries_meet_all_common_prefixes(spark, ranges, shortest):
+    """Ties connect what shares a prefix, in whatever ranges the sorted labels are cut, hot labels too."""
+    rng = random.Random(shortest)
+    rows = []
+    for i in range(600):
+        hot = i % 3 == 0
+        labels = [bytes([7, 0] * 3) if hot and t == 0 else b"".join(bytes([rng.randrange(40), rng.randrange(4)]) for _ in range(3)) for t in range(2)]
+        rows.append((rng.randbytes(16), labels))
+    nodes = spark.createDataFrame([(bytearray(n), bytearray(b"".join(ls))) for n, ls in rows], "node binary, labels binary")
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in zip(names, (ranges, "false", "50"), strict=True):
+            spark.conf.set(name, value)
+        roots = components(jaccard.ties(nodes, 2, 3, shortest)).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    families = {}
+    for r in roots:
+        families.setdefault(bytes(r.root), set()).add(bytes(r.node))
+    assert {frozenset(f) for f in families.values()} == prefix_families(rows, shortest)
+
+
+def test_entries_are_tied_once_at_their_longest_match():
+    """Of four labels two are equal, one shares two hashes and one shares one: each is tied to its stretch's head."""
+    label = np.array([[1, 2, 3], [1, 2, 3], [1, 2, 4], [1, 5, 5]], np.uint16).view(np.uint8)
+    node = np.arange(4, dtype=np.uint8)[:, None].repeat(16, axis=1)
+    whole = jaccard.Walk(3, 1)
+    met, head = whole.step(np.zeros(4, np.int32), label, node)
+    assert met.tolist() == [0, 3, 2, 1] and head[1:, 0].tolist() == [0, 0, 0]
+    cut = jaccard.Walk(3, 1)
+    parts = [cut.step(np.zeros(1, np.int32), label[i : i + 1], node[i : i + 1]) for i in range(4)]
+    assert [int(m[0]) for m, _ in parts] == met.tolist() and [int(h[0, 0]) for _, h in parts][1:] == [0, 0, 0]
+
+
 def test_query_against_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     check(QUERIES["op8_jaccard"](spark, SF).collect(), docs)

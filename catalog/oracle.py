@@ -178,6 +178,10 @@ _RUN_TOTALS = f"""SELECT CAST({len(DELIVERIES)} AS BIGINT) AS files_discovered,
   COUNT(*) FILTER (WHERE {_BAD_STRICT}) AS invalid_records,
   CAST(0 AS BIGINT) AS duplicates_removed, COUNT(*) FILTER (WHERE NOT {_BAD_STRICT}) AS total_records FROM d"""
 _DELIVERED_VALID = _with_delivered(f"SELECT {_LONG} FROM d WHERE NOT {_BAD_STRICT}")
+_REPORTED = "year, quarter, month, sales_state_id, sales_state_name, salesperson_id, store_id, sales_amount"
+# Rows after a run over the deliveries and one over a file of the years from 1998.
+_TWO_RUNS = f"""(SELECT {_REPORTED} FROM d WHERE NOT {_BAD_STRICT}
+  UNION ALL SELECT {_REPORTED} FROM l WHERE year >= 1998 AND NOT {_BAD_STRICT})"""
 _LONG_ROWS = _with_long(f"SELECT {_LONG} FROM l")
 
 _VALID = "(sales_amount >= 0 AND sales_amount <= 200000)"
@@ -369,6 +373,11 @@ ORACLE: dict[str, str] = {
                    COUNT(*) FILTER (WHERE {_BAD_STRICT}) AS invalid_records FROM d GROUP BY source_file) c
           ON f.source_file = c.source_file"""
     ),
+    "sales_by_quarter_from_summaries": _with_delivered(_by_quarter(_TWO_RUNS)),
+    "sales_by_state_from_summaries": _with_delivered(_by_state(_TWO_RUNS)),
+    "summary_stats_from_summaries": _with_delivered(
+        f"SELECT {_STATISTICS}, COUNT(DISTINCT month) AS months_covered FROM {_TWO_RUNS}"
+    ),
     "summary_sink": _with_delivered(
         f"""SELECT {_STATISTICS}, {_MONTH_LIST}, CAST({len(DELIVERIES)} AS BIGINT) AS files_processed
           FROM d WHERE NOT {_BAD_CORE}"""

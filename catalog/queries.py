@@ -14,7 +14,7 @@ from catalog import tables
 from catalog.tables import IDS, MEASURES
 from monthfold.config import IngestConfig
 from monthfold.functions.months import MONTHS
-from monthfold.operators import audits, reports, reshape
+from monthfold.operators import audits, reports, reshape, summaries
 from monthfold.operators.dedup import dedup, removed_count
 from monthfold.operators.validate import PROFILES, flag, metrics, split
 from monthfold.plans import ingest
@@ -645,6 +645,37 @@ def global_scope_on_write(spark: SparkSession, sf: str) -> DataFrame:
     return plain(ingest.read_curated(spark, cfg).select(*IDS, "month", "sales_amount"))
 
 
+_summarised: dict[tuple[str, str], IngestConfig] = {}
+
+
+def _summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """Summaries of the partitions after a run over the deliveries and one over a file of later years."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _summarised:
+        cfg = _config(spark, tables.delivered(spark, sf), keep_summaries=True)
+        ingest.run(spark, cfg)
+        source = fresh_folder(spark, "later")
+        writers.write_csv(tables.wide(spark, sf).where("year >= 1998"), f"{source}/sales_later.csv")
+        ingest.run(spark, replace(cfg, source=source))
+        _summarised[key] = cfg
+    return ingest.read_summaries(spark, _summarised[key])
+
+
+@query
+def sales_by_quarter_from_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(summaries.sales_by_quarter(_summaries(spark, sf)))
+
+
+@query
+def sales_by_state_from_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(summaries.sales_by_state(_summaries(spark, sf)))
+
+
+@query
+def summary_stats_from_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    return plain(summaries.summary_stats(_summaries(spark, sf)))
+
+
 @query
 def ledger_state(spark: SparkSession, sf: str) -> DataFrame:
     cfg = _config(spark, tables.delivered(spark, sf))

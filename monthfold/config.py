@@ -38,6 +38,7 @@ class IngestConfig:
     max_sales_value: Decimal = Decimal(1_000_000_000)
     dedup_scope: str = "file"
     refresh: str = "full"
+    keep_summaries: bool = False
     spark_options: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -86,6 +87,7 @@ _YAML_FIELDS = {
     ("processing", "profile"): "profile",
     ("processing", "dedup_scope"): "dedup_scope",
     ("processing", "refresh"): "refresh",
+    ("processing", "keep_summaries"): "keep_summaries",
     ("features", "enable_incremental"): "enable_incremental",
     ("features", "enable_schema_registry"): "enable_schema_registry",
     ("features", "enable_deduplication"): "enable_deduplication",

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from monthfold.config import ConfigError, IngestConfig
 from monthfold.functions.months import MONTHS
-from monthfold.operators import reports
+from monthfold.operators import reports, summaries
 from monthfold.operators.dedup import dedup, dedup_wide
 from monthfold.operators.reshape import to_output, union_shapes, unpivot_months
 from monthfold.operators.validate import Profile, holds_key, split
@@ -79,6 +79,7 @@ class Places:
 
     curated: str
     unique: str
+    summaries: str
     quarantine: str
     manifest: str
     ledger: str
@@ -92,6 +93,7 @@ class Places:
         return Places(
             curated=f"{cfg.curated}/sales_normalized",
             unique=f"{cfg.curated}/sales_unique",
+            summaries=f"{cfg.curated}/sales_summaries",
             quarantine=f"{cfg.staging}/invalid_records",
             manifest=f"{cfg.checkpoints}/manifest",
             ledger=f"{cfg.checkpoints}/ledger",
@@ -160,6 +162,18 @@ def read_curated(
     return rows.where(state_of.visible()).select(*shown)
 
 
+def read_summaries(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
+    """The summaries of all partitions, for the reports of ``operators.summaries``.
+
+    Runs with ``keep_summaries`` write them, and once a target has summaries every run brings them up to date.
+    """
+    places = Places.of(cfg)
+    folders = snapshot(spark, cfg, manifest.SUMMARY).folders
+    if not folders and snapshot(spark, cfg).folders:
+        raise ConfigError("this target has no summaries; run with keep_summaries")
+    return manifest.read(spark, places.summaries, folders, summaries.schema(cfg.partition_by))
+
+
 def read_quarantine(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     """Rejects of each file's latest successful run."""
     long = [field for field in CURATED.fields]
@@ -589,12 +603,15 @@ def _record_manifest(
     if wrote:
         added = manifest.written_by(spark, places.curated, cfg.partition_by, run_id)
     rows = [manifest.entries(spark, run_id, started, manifest.ROWS, added, removed, hidden, moved, last_id)]
-    if cfg.rules().dedup and cfg.dedup_scope == "global":
-        touched = {f.place for f in added} | {f.place for f in before.folders if f.run_id in affected}
-        gone = {f.path for f in removed}
-        now_live = [*[f for f in before.folders if f.path not in gone], *added]
-        view = manifest.Snapshot(tuple(now_live), (*before.hidden, *hidden), before.moved, last_id)
+    touched = {f.place for f in added} | {f.place for f in before.folders if f.run_id in affected}
+    gone = {f.path for f in removed}
+    now_live = [*[f for f in before.folders if f.path not in gone], *added]
+    view = manifest.Snapshot(tuple(now_live), (*before.hidden, *hidden), before.moved, last_id)
+    unique = cfg.rules().dedup and cfg.dedup_scope == "global"
+    if unique:
         rows.append(_bring_up_unique(spark, cfg, run_id, started, view, touched))
+    if cfg.keep_summaries or _run_folders(spark, cfg, places.summaries):
+        rows.append(_bring_up_summaries(spark, cfg, run_id, started, view, touched, unique))
     append(union_shapes(rows), places.manifest)
 
 
@@ -629,6 +646,40 @@ def _bring_up_unique(
     return manifest.entries(spark, run_id, started, manifest.UNIQUE, added, removed)
 
 
+def _run_folders(spark: SparkSession, cfg: IngestConfig, table: str) -> list[tuple[str, str, str]]:
+    """All folders of runs below a table, committed or not: names only."""
+    return manifest.stored_folders(spark, table, f"{glob_literal(table)}/{'*/' * len(cfg.partition_by)}run_id=*")
+
+
+def _bring_up_summaries(
+    spark: SparkSession, cfg: IngestConfig, run_id: str, started: datetime, now: manifest.Snapshot, touched: set[str], unique: bool
+) -> DataFrame:
+    """Write the summaries of the partitions that the run touched anew; those of all partitions the first time.
+
+    ``unique``: of the rows without duplicates between files, which this run has just brought up to date.
+    """
+    places = Places.of(cfg)
+    former = snapshot(spark, cfg, manifest.SUMMARY)
+    source, view = places.curated, now
+    if unique:
+        written = manifest.written_by(spark, places.unique, cfg.partition_by, run_id)
+        stored = snapshot(spark, cfg, manifest.UNIQUE)
+        # Places may have lost all their rows, and some runs write all of them anew.
+        anew = touched | {f.place for f in written}
+        touched, source = anew, places.unique
+        view = manifest.Snapshot((*[f for f in stored.folders if f.place not in anew], *written), (), {}, 0)
+    whole = not former.folders
+    folders = [f for f in view.folders if whole or f.place in touched]
+    rows = manifest.read(spark, source, folders, _stored_schema(()), cfg.output_format).where(view.visible())
+    write_curated(
+        summaries.summarize(rows, cfg.partition_by).withColumn("run_id", F.lit(run_id)),
+        places.summaries,
+        parts=[*cfg.partition_by, "run_id"],
+    )
+    added = manifest.written_by(spark, places.summaries, cfg.partition_by, run_id)
+    return manifest.entries(spark, run_id, started, manifest.SUMMARY, added, [f for f in former.folders if f.place in touched])
+
+
 def _record_state(
     spark: SparkSession,
     cfg: IngestConfig,
@@ -666,8 +717,9 @@ def remove_superseded(spark: SparkSession, cfg: IngestConfig) -> int:
     are looked at by file and run.
     """
     places, removed = Places.of(cfg), 0
-    for table, dataset in ((places.curated, manifest.ROWS), (places.unique, manifest.UNIQUE)):
-        stored = manifest.stored_folders(spark, table, f"{glob_literal(table)}/{'*/' * len(cfg.partition_by)}run_id=*")
+    tables = ((places.curated, manifest.ROWS), (places.unique, manifest.UNIQUE), (places.summaries, manifest.SUMMARY))
+    for table, dataset in tables:
+        stored = _run_folders(spark, cfg, table)
         live = {f.path for f in snapshot(spark, cfg, dataset).folders} if stored else set()
         removed += sum(delete_folder(spark, path) for path, _, _ in stored if path not in live)
     try:

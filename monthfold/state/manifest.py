@@ -37,7 +37,7 @@ ENTRY = T.StructType(
     + [T.StructField("last_id", T.LongType())]
 )
 MOST_HIDDEN = 256
-ROWS, UNIQUE = "rows", "unique"
+ROWS, UNIQUE, SUMMARY = "rows", "unique", "summary"
 
 
 @dataclass(frozen=True)

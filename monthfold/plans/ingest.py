@@ -7,8 +7,7 @@ import logging
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterable, Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -36,6 +35,7 @@ from monthfold.plans.normalize import (
 )
 from monthfold.schema import CURATED, IDENTIFIER_COLUMNS, RECORD_ID, add_record_id
 from monthfold.sinks.scratch import shared_folder
+from monthfold.sinks.settings import session_options, small_splits
 from monthfold.sinks.writers import append, delete_files, delete_folder, write_curated, write_json, write_quarantine
 from monthfold.sources.discovery import glob_literal, headers, headers_by_scan, list_files, logical_files
 from monthfold.sources.tables import read_or_empty
@@ -57,22 +57,6 @@ LISTED = ("path", "source_file", "length", "modification_time")
 WAVE_BYTES = 1 << 40
 
 
-@contextmanager
-def session_options(spark: SparkSession, options: Mapping[str, str]) -> Iterator[None]:
-    """Session settings for the time of a run; settings that a session cannot change are errors."""
-    former = {name: spark.conf.get(name, None) for name in options}
-    try:
-        for name, value in options.items():
-            spark.conf.set(name, str(value))
-        yield
-    finally:
-        for name, value in former.items():
-            if value is not None:
-                spark.conf.set(name, value)
-            elif spark.conf.get(name, None) is not None:
-                spark.conf.unset(name)
-
-
 @dataclass(frozen=True)
 class Places:
     """Where a configuration keeps its tables."""
@@ -410,7 +394,8 @@ def _write_long(
     keyed = add_record_id(to_output(kept, ["run_id", *extra]), last_id + 1)
     seen = keyed.observe(counted, F.count(F.lit(1)).alias("kept"), F.max(RECORD_ID).alias("last"))
     # Always added, never replaced: rows count once the ledger names their run.
-    write_curated(seen, Places.of(cfg).curated, fmt=cfg.output_format, parts=[*cfg.partition_by, "run_id"], dealt=dealt)
+    with small_splits(staged.rows.sparkSession):
+        write_curated(seen, Places.of(cfg).curated, fmt=cfg.output_format, parts=[*cfg.partition_by, "run_id"], dealt=dealt)
     return counted.get["kept"], counted.get["last"] or last_id
 
 
@@ -638,9 +623,10 @@ def _bring_up_unique(
     ).where(now.visible())
     keys = [c for c in schema.names if c not in {*CURATED.names, "run_id", RECORD_ID}]
     best = dedup(rows, [*IDENTIFIER_COLUMNS, *keys, "month"], "global", determined=("month_number", "quarter"))
-    write_curated(
-        best.withColumn("run_id", F.lit(run_id)), places.unique, fmt=cfg.output_format, parts=[*cfg.partition_by, "run_id"]
-    )
+    with small_splits(spark):
+        write_curated(
+            best.withColumn("run_id", F.lit(run_id)), places.unique, fmt=cfg.output_format, parts=[*cfg.partition_by, "run_id"]
+        )
     removed = [f for f in former.folders if not keyed or f.place in touched]
     added = manifest.written_by(spark, places.unique, cfg.partition_by, run_id)
     return manifest.entries(spark, run_id, started, manifest.UNIQUE, added, removed)
@@ -671,11 +657,12 @@ def _bring_up_summaries(
     whole = not former.folders
     folders = [f for f in view.folders if whole or f.place in touched]
     rows = manifest.read(spark, source, folders, _stored_schema(()), cfg.output_format).where(view.visible())
-    write_curated(
-        summaries.summarize(rows, cfg.partition_by).withColumn("run_id", F.lit(run_id)),
-        places.summaries,
-        parts=[*cfg.partition_by, "run_id"],
-    )
+    with small_splits(spark):
+        write_curated(
+            summaries.summarize(rows, cfg.partition_by).withColumn("run_id", F.lit(run_id)),
+            places.summaries,
+            parts=[*cfg.partition_by, "run_id"],
+        )
     added = manifest.written_by(spark, places.summaries, cfg.partition_by, run_id)
     return manifest.entries(spark, run_id, started, manifest.SUMMARY, added, [f for f in former.folders if f.place in touched])
 

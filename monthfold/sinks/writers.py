@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from monthfold.sinks.settings import open_files
+
 
 def write_curated(
     df: DataFrame,
@@ -22,7 +24,8 @@ def write_curated(
     together into few files and split a partition that is too large for one task,
     instead of every task writing a file into every partition. With ``dynamic``, an
     overwrite replaces only the partitions that the new rows belong to. ``dealt``
-    says that the rows have been brought together before.
+    says that the rows have been brought together before. Tasks keep one file per
+    partition open and do not sort their rows.
     """
     if parts and not dealt:
         df = df.hint("rebalance", *parts)
@@ -31,7 +34,8 @@ def write_curated(
         writer = writer.partitionBy(*parts)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic and parts else "static")
-    writer.save(path)
+    with open_files(df.sparkSession):
+        writer.save(path)
 
 
 def write_quarantine(df: DataFrame, path: str) -> None:
@@ -79,7 +83,8 @@ def save_table(
         writer = writer.partitionBy(*parts)
     if path is not None:
         writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    with open_files(df.sparkSession):
+        writer.saveAsTable(name)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

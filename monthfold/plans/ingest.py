@@ -35,8 +35,8 @@ from monthfold.plans.normalize import (
 )
 from monthfold.schema import CURATED, IDENTIFIER_COLUMNS, RECORD_ID, add_record_id
 from monthfold.sinks.scratch import shared_folder
-from monthfold.sinks.settings import session_options, small_splits
-from monthfold.sinks.writers import append, delete_files, delete_folder, write_curated, write_json, write_quarantine
+from monthfold.sinks.settings import FOLD_BYTES, session_options, small_splits
+from monthfold.sinks.writers import append, delete_files, delete_folder, folder_bytes, write_curated, write_json, write_quarantine
 from monthfold.sources.discovery import glob_literal, headers, headers_by_scan, list_files, logical_files
 from monthfold.sources.tables import read_or_empty
 from monthfold.sources.wide import Shape, read_wide, typed_wide, wide_schema, with_provenance
@@ -56,6 +56,10 @@ LISTED = ("path", "source_file", "length", "modification_time")
 # Bytes of input that one wave of the staging scan reads.
 WAVE_BYTES = 1 << 40
 
+# The column of the buckets by which rows are dealt to find equal keys, and the most tasks of that step.
+BUCKET = "__bucket"
+MOST_TASKS = 20_000
+
 
 @dataclass(frozen=True)
 class Places:
@@ -612,20 +616,38 @@ def _bring_up_unique(
     """Write the rows without duplicates between files anew, in the partitions that the run touched.
 
     Equal keys are in one partition, because partition columns are key columns;
-    where they are not, every partition counts as touched.
+    where they are not, every partition counts as touched. Rows are dealt by partition
+    and by buckets of keys that hold some ``FOLD_BYTES`` of the largest partition.
     """
     places = Places.of(cfg)
     keyed = set(cfg.partition_by) <= {*IDENTIFIER_COLUMNS, *DETERMINED, "month"}
     former = snapshot(spark, cfg, manifest.UNIQUE)
     schema = _all_columns(spark, cfg)
-    rows = manifest.read(
-        spark, places.curated, [f for f in now.folders if not keyed or f.place in touched], schema, cfg.output_format
-    ).where(now.visible())
-    keys = [c for c in schema.names if c not in {*CURATED.names, "run_id", RECORD_ID}]
-    best = dedup(rows, [*IDENTIFIER_COLUMNS, *keys, "month"], "global", determined=("month_number", "quarter"))
-    with small_splits(spark):
+    folders = [f for f in now.folders if not keyed or f.place in touched]
+    rows = manifest.read(spark, places.curated, folders, schema, cfg.output_format).where(now.visible())
+    keys = [*IDENTIFIER_COLUMNS, *[c for c in schema.names if c not in {*CURATED.names, "run_id", RECORD_ID}], "month"]
+    fixed = ("month_number", "quarter")
+    together = bool(cfg.partition_by) and set(cfg.partition_by) <= {*keys, *fixed}
+    settings = {}
+    if together:
+        # One shuffle for the keys and for the write; rows of a file have no equal keys, so nothing folds before it.
+        sizes = Counter()
+        for f in folders:
+            sizes[f.place] += folder_bytes(spark, f.path)
+        buckets = max(1, -(-max(sizes.values(), default=0) // FOLD_BYTES))
+        bucket = F.pmod(F.hash(*[F.col(f"`{c}`") for c in keys]), F.lit(buckets))
+        rows = rows.withColumn(BUCKET, bucket).repartition(*cfg.partition_by, BUCKET)
+        keys.append(BUCKET)
+        wanted = "spark.sql.shuffle.partitions"
+        settings[wanted] = str(max(int(spark.conf.get(wanted)), min(2 * buckets * len(sizes), MOST_TASKS)))
+    best = dedup(rows, keys, "global", determined=fixed).drop(BUCKET)
+    with session_options(spark, settings), small_splits(spark):
         write_curated(
-            best.withColumn("run_id", F.lit(run_id)), places.unique, fmt=cfg.output_format, parts=[*cfg.partition_by, "run_id"]
+            best.withColumn("run_id", F.lit(run_id)),
+            places.unique,
+            fmt=cfg.output_format,
+            parts=[*cfg.partition_by, "run_id"],
+            dealt=together,
         )
     removed = [f for f in former.folders if not keyed or f.place in touched]
     added = manifest.written_by(spark, places.unique, cfg.partition_by, run_id)

@@ -42,8 +42,9 @@ def write_quarantine(df: DataFrame, path: str) -> None:
     """Add rejects; those of a file's latest recorded run are the ones that count.
 
     One folder per run where rows have a ``run_id``, so folders do not grow with files.
+    Rows are written where they are: each task has one folder to write to, so dealing them anew gains nothing.
     """
-    write_curated(df, path, parts=("run_id",) if "run_id" in df.columns else ())
+    write_curated(df, path, parts=("run_id",) if "run_id" in df.columns else (), dealt=True)
 
 
 def delete_files(spark: SparkSession, paths: DataFrame) -> int:
@@ -64,6 +65,12 @@ def delete_folder(spark: SparkSession, name: str) -> bool:
     return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
 
 
+def folder_bytes(spark: SparkSession, name: str) -> int:
+    """Bytes of all files below a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return int(path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength())
+
+
 def save_table(
     df: DataFrame,
     name: str,

@@ -68,3 +68,47 @@ def test_lines_are_dealt_by_group_before_they_are_summed(spark, tmp_path):
     # The exchange by group lies below both halves of the aggregate.
     first = next(i for i, line in enumerate(plan.splitlines()) if re.search(r"Exchange hashpartitioning\(l_suppkey", line))
     assert all(i < first for i, line in enumerate(plan.splitlines()) if "HashAggregate" in line)
+
+
+def test_unique_rows_are_dealt_once_and_equal_keys_meet_in_any_number_of_buckets(spark, tmp_path, cfg_for, monkeypatch):
+    from monthfold.plans import ingest
+
+    source = tmp_path / "in"
+    source.mkdir()
+    head = "salesperson_id,salesperson_name,sales_state_id,sales_state_name,store_id,store_name,year,Jan_sales,Feb_sales\n"
+    for number, name in enumerate(("a", "b")):
+        rows = [f"{i},S{i},1,N,{i % 3},Store,2024,{i + number},{i - number}\n" for i in range(1, 30)]
+        (source / f"sales_{name}.csv").write_text(head + "".join(rows))
+    cfg = cfg_for(source, dedup_scope="global")
+    monkeypatch.setattr(ingest, "FOLD_BYTES", 300)
+    plans, write = [], ingest.write_curated
+
+    def recorded(df, path, **options):
+        if path.endswith("sales_unique"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            assert options["dealt"] and int(spark.conf.get("spark.sql.shuffle.partitions")) > 8
+        write(df, path, **options)
+
+    monkeypatch.setattr(ingest, "write_curated", recorded)
+    ingest.run(spark, cfg)
+    got = ingest.read_curated(spark, cfg).select("salesperson_id", "month", "sales_amount").collect()
+    assert sorted((r[0], r[1], int(r[2])) for r in got) == sorted((i, m, i + d) for i in range(1, 30) for m, d in (("Jan", 1), ("Feb", 0)))
+    assert len(plans) == 1 and plans[0].count("Exchange") == 1
+
+
+def test_folded_rows_are_sorted_before_the_unpivot(spark):
+    from pyspark.sql import functions as F
+
+    from monthfold.operators.dedup import dedup_wide
+
+    rows = spark.range(50).selectExpr("cast(id as int) AS seller", "2024 AS year", "id * 2.0 AS a")
+    long = dedup_wide(rows, ["seller", "year"], {"Jan": (F.col("a"), F.lit(True))}, spread=["year"])
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Sort [") < plan.index("REBALANCE")
+
+
+def test_rejects_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    plans, write = [], writers.write_curated
+    monkeypatch.setattr(writers, "write_curated", lambda df, path, **options: (plans.append(options.get("dealt")), write(df, path, **options)))
+    writers.write_quarantine(spark.range(4).selectExpr("id", "'r' AS run_id"), str(tmp_path / "rejects"))
+    assert plans == [True] and spark.read.parquet(str(tmp_path / "rejects")).count() == 4

@@ -391,7 +391,7 @@ def quarantine_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def csv_export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path, rows = fresh_folder(spark, "export"), tables.long(spark, sf)
-    writers.write_csv(rows, path)
+    writers.write_csv(rows, path, compression="gzip")
     return plain(spark.read.csv(path, header=True, schema=rows.schema))
 
 
@@ -546,7 +546,7 @@ def known_measures(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def no_measure_columns(spark: SparkSession, sf: str) -> DataFrame:
     source = fresh_folder(spark, "unmeasured")
-    writers.write_csv(tables.wide(spark, sf).select(*IDS), f"{source}/sales_identifiers.csv")
+    tables.deliver(tables.wide(spark, sf).select(*IDS), source, "sales_identifiers.csv")
     cfg = _config(spark, source)
     ingest.run(spark, cfg)
     wide_rows = _scan(spark, source).agg(F.count(F.lit(1)).alias("wide_rows"))
@@ -588,7 +588,7 @@ def _with_repeats(spark: SparkSession, sf: str) -> IngestConfig:
     """A run over one file of line-level rows: each has one month, and keys repeat."""
     source = fresh_folder(spark, "repeats")
     cells = [F.when(F.col("month") == label, F.col("sales_amount")).alias(f"{label}_sales") for label in MONTHS]
-    writers.write_csv(tables.repeated(spark, sf).select(*IDS, *cells), f"{source}/sales_lines.csv")
+    tables.deliver(tables.repeated(spark, sf).select(*IDS, *cells), source, "sales_lines.csv")
     cfg = _config(spark, source)
     ingest.run(spark, cfg)
     return cfg
@@ -612,7 +612,7 @@ def full_refresh_replaces(spark: SparkSession, sf: str) -> DataFrame:
     first = _config(spark, tables.delivered(spark, sf))
     ingest.run(spark, first)
     source = fresh_folder(spark, "refreshed")
-    writers.write_csv(tables.wide(spark, sf).where("year >= 1996"), f"{source}/sales_refreshed.csv")
+    tables.deliver(tables.staged_wide(spark, sf).where("year >= 1996"), source, "sales_refreshed.csv")
     ingest.run(spark, replace(first, source=source), incremental=False)
     return plain(ingest.read_curated(spark, first, committed=False).select(*IDS, "month", "sales_amount", "source_file"))
 
@@ -623,7 +623,7 @@ def surrogate_keys_over_runs(spark: SparkSession, sf: str) -> DataFrame:
     first = _config(spark, tables.delivered(spark, sf))
     ingest.run(spark, first)
     source = fresh_folder(spark, "later")
-    writers.write_csv(tables.wide(spark, sf).where("year >= 1996"), f"{source}/sales_later.csv")
+    tables.deliver(tables.staged_wide(spark, sf).where("year >= 1996"), source, "sales_later.csv")
     ingest.run(spark, replace(first, source=source))
     rows = ingest.read_curated(spark, first, record_ids=True)
     # A key that two rows share would be counted twice in one of its months, or in two months.
@@ -640,7 +640,7 @@ def global_scope_on_write(spark: SparkSession, sf: str) -> DataFrame:
     ingest.run(spark, cfg)
     source = fresh_folder(spark, "doubled")
     raised = [(F.col(c) + 1).cast("decimal(18,2)").alias(c) for c in MEASURES]
-    writers.write_csv(tables.wide(spark, sf).where("year >= 1999").select(*IDS, *raised), f"{source}/sales_doubled.csv")
+    tables.deliver(tables.staged_wide(spark, sf).where("year >= 1999").select(*IDS, *raised), source, "sales_doubled.csv")
     ingest.run(spark, replace(cfg, source=source))
     return plain(ingest.read_curated(spark, cfg).select(*IDS, "month", "sales_amount"))
 
@@ -655,7 +655,7 @@ def _summaries(spark: SparkSession, sf: str) -> DataFrame:
         cfg = _config(spark, tables.delivered(spark, sf), keep_summaries=True)
         ingest.run(spark, cfg)
         source = fresh_folder(spark, "later")
-        writers.write_csv(tables.wide(spark, sf).where("year >= 1998"), f"{source}/sales_later.csv")
+        tables.deliver(tables.staged_wide(spark, sf).where("year >= 1998"), source, "sales_later.csv")
         ingest.run(spark, replace(cfg, source=source))
         _summarised[key] = cfg
     return ingest.read_summaries(spark, _summarised[key])

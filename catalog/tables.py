@@ -121,6 +121,11 @@ def deliveries(frame: DataFrame) -> dict[str, DataFrame]:
     return cut
 
 
+def deliver(rows: DataFrame, folder: str, name: str) -> None:
+    """Write a delivery file: gzipped CSV parts, which headers and scans are read from as from plain ones."""
+    write_csv(rows, f"{folder}/{name}", compression="gzip")
+
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -144,6 +149,6 @@ def delivered(spark: SparkSession, sf: str) -> str:
 
     def write(folder: str) -> None:
         for name, rows in deliveries(staged_wide(spark, sf)).items():
-            write_csv(rows, f"{folder}/{name}")
+            deliver(rows, folder, name)
 
     return _once(spark, sf, "deliveries", write)

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from monthfold.sinks.settings import open_files
 
+# Rows of a compressed text file, which one task reads as a whole.
+PART_ROWS = 1_000_000
+
 
 def write_curated(
     df: DataFrame,
@@ -94,9 +97,16 @@ def save_table(
         writer.saveAsTable(name)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Export as CSV with a header in every part file."""
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
+    """Export as CSV with a header in every part file.
+
+    With a ``compression`` such as gzip the text takes a small part of its room. A reader cannot split such
+    part files, so that each holds ``PART_ROWS`` rows at most.
+    """
+    writer = df.write.mode(mode).option("header", True)
+    if compression is not None:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", PART_ROWS)
+    writer.csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

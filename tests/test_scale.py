@@ -112,3 +112,66 @@ def test_rejects_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(writers, "write_curated", lambda df, path, **options: (plans.append(options.get("dealt")), write(df, path, **options)))
     writers.write_quarantine(spark.range(4).selectExpr("id", "'r' AS run_id"), str(tmp_path / "rejects"))
     assert plans == [True] and spark.read.parquet(str(tmp_path / "rejects")).count() == 4
+
+
+@pytest.fixture
+def sample(tmp_path):
+    """A folder with the sample tables that the wide table is derived from."""
+    from datetime import date
+
+    folder = tmp_path / "sample"
+    folder.mkdir()
+    tables_of = {
+        "lineitem": {
+            "l_suppkey": [1, 1, 2, 2, 1],
+            "l_partkey": [1, 2, 1, 2, 2],
+            "l_shipdate": [date(1995, 1, 5), date(1998, 1, 9), date(1999, 9, 1), date(2001, 12, 1), date(1996, 3, 1)],
+            "l_extendedprice": [1.5, 2.0, 4.0, 8.0, 16.0],
+            "l_returnflag": ["A", "R", None, "A", "N"],
+        },
+        "part": {"p_partkey": [1, 2], "p_brand": ["Brand#13", "Brand#21"]},
+        "supplier": {"s_suppkey": [1, 2], "s_nationkey": [3, 3], "s_name": ["S", "T"]},
+        "nation": {"n_nationkey": [3], "n_name": ["N"]},
+    }
+    for name, columns in tables_of.items():
+        pq.write_table(pa.table(columns), folder / f"{name}.parquet")
+    return str(folder)
+
+
+def test_compressed_exports_are_cut_into_parts_that_hold_all_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "PART_ROWS", 10)
+    writers.write_csv(spark.range(35).coalesce(1), str(tmp_path / "out"), compression="gzip")
+    names = [p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
+    assert len(names) == 4 and all(n.endswith(".csv.gz") for n in names)
+    back = spark.read.csv(str(tmp_path / "out"), header=True, schema="id long")
+    assert sorted(r.id for r in back.collect()) == list(range(35))
+
+
+def test_export_and_deliveries_are_gzipped_and_read_back_whole(spark, sample, tmp_path, monkeypatch):
+    from catalog import queries
+
+    def folder(spark, label):
+        return str(tmp_path / label)
+
+    monkeypatch.setattr(queries, "fresh_folder", folder)
+    monkeypatch.setattr(tables, "fresh_folder", folder)
+    got = queries.QUERIES["csv_export_roundtrip"](spark, sample)
+    want = queries.plain(tables.long(spark, sample))
+    assert got.schema.names == want.schema.names and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    source = tables.delivered(spark, sample)
+    for top in (tmp_path / "export", *(tmp_path / "deliveries").iterdir()):
+        assert all(p.name.endswith(".csv.gz") for p in top.iterdir() if p.name.startswith("part-"))
+    records = {r.source_file: r.records for r in queries._records_per_file(queries._scan(spark, source)).collect()}
+    assert sum(records.values()) == 2 + 1 + 2 + 4
+
+
+@pytest.mark.parametrize(
+    ("name", "columns"), [("surrogate_keys_over_runs", "month, records"), ("sales_by_quarter_from_summaries", "year, quarter, total_sales")]
+)
+def test_later_files_come_from_the_staged_wide_table(spark, sample, monkeypatch, name, columns):
+    from catalog import queries
+
+    calls, wide = [], tables.wide
+    monkeypatch.setattr(tables, "wide", lambda *given: (calls.append(given), wide(*given))[1])
+    rows = queries.QUERIES[name](spark, sample)
+    assert len(calls) == 1 and rows.selectExpr(*columns.split(", ")).count() > 0

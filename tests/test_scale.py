@@ -175,3 +175,37 @@ def test_later_files_come_from_the_staged_wide_table(spark, sample, monkeypatch,
     monkeypatch.setattr(tables, "wide", lambda *given: (calls.append(given), wide(*given))[1])
     rows = queries.QUERIES[name](spark, sample)
     assert len(calls) == 1 and rows.selectExpr(*columns.split(", ")).count() > 0
+
+
+IDS_OF_KEYS = {
+    "sound": [("Jan", i) for i in range(1, 300, 2)] + [("Feb", i) for i in range(2, 300, 2)],
+    "word edges": [("Jan", i) for i in (1, 63, 64, 127, 128, 2**40 + 63, 2**62)],
+    "twice in a month": [("Jan", 5), ("Jan", 5), ("Jan", 5), ("Jan", 6), ("Feb", 70)],
+    "twice in two months": [("Jan", 64), ("Feb", 64), ("Feb", 65), ("Mar", 64)],
+    "missing and below 1": [("Jan", None), ("Jan", None), ("Feb", None), ("Feb", 0), ("Mar", -1), ("Mar", -64), ("Mar", 1)],
+    "only missing": [("Jan", None)],
+    "no month": [(None, 3), (None, 4), ("Jan", 3)],
+    "empty": [],
+}
+
+
+@pytest.mark.parametrize("case", IDS_OF_KEYS)
+def test_keys_are_counted_as_bits_of_words(spark, case):
+    from catalog.queries import _counted_keys
+
+    rows = IDS_OF_KEYS[case]
+    got = _counted_keys(spark.createDataFrame(rows, "month string, record_id long")).collect()
+    times = {key: sum(k == key for _, k in rows) for _, key in rows}
+    bad = sum(n > 1 or key is None or key < 1 for key, n in times.items())
+    want = [
+        (m, sum(a == m for a, _ in rows), len({k for a, k in rows if a == m and k is not None}), bad) for m in {m for m, _ in rows}
+    ]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_keys_are_folded_by_word_before_they_are_shuffled(spark):
+    from catalog.queries import _counted_keys
+
+    plan = _counted_keys(spark.range(10).selectExpr("'Jan' AS month", "id AS record_id"))._jdf.queryExecution().executedPlan().toString()
+    first = plan[: plan.index("Subquery")] if "Subquery" in plan else plan
+    assert "record_id" not in "".join(line for line in first.splitlines() if "Exchange hashpartitioning" in line)

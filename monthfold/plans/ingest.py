@@ -327,7 +327,7 @@ def _stage(
         rows = union_shapes([empty, *[frame.withColumn("run_id", F.lit(run_id)) for frame in frames]])
         target = f"{folder}/wave-{len(done) + len(failed):06d}"
         try:
-            rows.write.mode("overwrite").parquet(target)
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(target)
         except Exception as error:
             bad = _unreadable_file(error, {part.source_file for part in wave})
             if bad is None:

@@ -15,10 +15,12 @@ from monthfold.functions.months import MONTHS
 from monthfold.operators.reshape import add_month_number, add_quarter, unpivot_months
 from monthfold.schema import IDENTIFIER_COLUMNS
 from monthfold.sinks.scratch import fresh_folder
-from monthfold.sinks.writers import write_csv, write_parquet
+from monthfold.sinks.settings import FOLD_BYTES, session_options
+from monthfold.sinks.writers import folder_bytes, write_csv, write_parquet
 
 IDS = list(IDENTIFIER_COLUMNS)
 MEASURES = [f"{month}_sales" for month in MONTHS]
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 # Files of a wide delivery: (name, first year, last year, months). Together they hold
 # every cell of the wide table once, in seven different headers.
@@ -71,20 +73,29 @@ def _with_names(spark: SparkSession, sf: str, sales: DataFrame) -> DataFrame:
     )
 
 
+def _portions(spark: SparkSession, sf: str) -> int:
+    """Portions of ``FOLD_BYTES`` that the line items' files make."""
+    return -(-folder_bytes(spark, f"{sf}/lineitem.parquet") // FOLD_BYTES)
+
+
 def wide(spark: SparkSession, sf: str) -> DataFrame:
     """The wide table: one row per seller, store and year, one column per month.
 
     Aggregated before the seller join, so that only group rows meet it. Lines are dealt
     by group before: there are few per group, so that folding them on the map side would
-    keep almost as many rows in memory, and shuffle each with all twelve sums.
+    keep almost as many rows in memory, and shuffle each with all twelve sums. A task
+    folds some ``FOLD_BYTES`` of the files, however large they are and whatever number of
+    partitions the session sets; tables of fewer portions than tasks are dealt as Spark chooses.
     """
     cells = [
         F.sum(F.when(F.col("month_number") == number, F.col("sales_amount"))).cast("decimal(18,2)").alias(name)
         for number, name in enumerate(MEASURES, start=1)
     ]
     keys = ["l_suppkey", "store_name", "year"]
-    lines = _sales(spark, sf).select(*keys, "month_number", "sales_amount").repartition(*keys)
-    groups = lines.groupBy(*keys).agg(*cells)
+    lines, portions = _sales(spark, sf).select(*keys, "month_number", "sales_amount"), _portions(spark, sf)
+    enough = min(spark.sparkContext.defaultParallelism, int(spark.conf.get(PARTITIONS)))
+    dealt = lines.repartition(portions, *keys) if portions > enough else lines.repartition(*keys)
+    groups = dealt.groupBy(*keys).agg(*cells)
     return _with_names(spark, sf, groups).select(*IDS, *MEASURES)
 
 
@@ -139,9 +150,17 @@ def _once(spark: SparkSession, sf: str, label: str, write) -> str:
 
 
 def staged_wide(spark: SparkSession, sf: str) -> DataFrame:
-    """The wide table as a written staging table, for queries that scan it more than once."""
-    folder = _once(spark, sf, "sales_raw", lambda path: write_parquet(wide(spark, sf), path))
-    return spark.read.parquet(folder)
+    """The wide table as a written staging table, for queries that scan it more than once.
+
+    Joins of tables too large to be broadcast shuffle and sort by the same portions as the fold, at least.
+    """
+
+    def write(folder: str) -> None:
+        partitions = max(int(spark.conf.get(PARTITIONS)), _portions(spark, sf))
+        with session_options(spark, {PARTITIONS: str(partitions)}):
+            write_parquet(wide(spark, sf), folder)
+
+    return spark.read.parquet(_once(spark, sf, "sales_raw", write))
 
 
 def delivered(spark: SparkSession, sf: str) -> str:

@@ -1,6 +1,7 @@
 """What keeps the memory and the shuffle of a task from growing with the tables."""
 
 import re
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -177,6 +178,35 @@ def test_later_files_come_from_the_staged_wide_table(spark, sample, monkeypatch,
     assert len(calls) == 1 and rows.selectExpr(*columns.split(", ")).count() > 0
 
 
+def _fold_partitions(frame):
+    """Partitions that the lines are dealt into before they are summed."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return int(re.search(r"hashpartitioning\(l_suppkey#\d+L?, store_name#\d+, year#\d+, (\d+)\)", plan)[1])
+
+
+def test_a_task_folds_no_more_lines_as_the_table_grows(spark, sample, monkeypatch):
+    want = tables.wide(spark, sample)
+    assert _fold_partitions(want) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A table of 40 portions or more, in a session of 8 partitions.
+    monkeypatch.setattr(tables, "FOLD_BYTES", (Path(sample) / "lineitem.parquet").stat().st_size // 40, raising=False)
+    got = tables.wide(spark, sample)
+    assert _fold_partitions(got) >= 40
+    assert got.schema == want.schema and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_the_staged_wide_table_is_joined_in_portions_too(spark, sample, monkeypatch):
+    from catalog import queries
+
+    name, seen, write = "spark.sql.shuffle.partitions", [], tables.write_parquet
+    before = spark.conf.get(name)
+    monkeypatch.setattr(tables, "FOLD_BYTES", (Path(sample) / "lineitem.parquet").stat().st_size // 40, raising=False)
+    monkeypatch.setattr(tables, "write_parquet", lambda df, path: (seen.append(int(spark.conf.get(name))), write(df, path))[1])
+    got = queries.QUERIES["schema_registry_state"](spark, sample).collect()
+    assert len(seen) == 1 and seen[0] >= 40 and spark.conf.get(name) == before
+    # Two rows to 1996, one of 1998, one of 1999 in two files, one of 2001 in four.
+    assert sum(r.records for r in got) == 2 + 1 + 2 + 4
+
+
 IDS_OF_KEYS = {
     "sound": [("Jan", i) for i in range(1, 300, 2)] + [("Feb", i) for i in range(2, 300, 2)],
     "word edges": [("Jan", i) for i in (1, 63, 64, 127, 128, 2**40 + 63, 2**62)],
